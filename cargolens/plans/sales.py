@@ -11,7 +11,10 @@ from cargolens.operators.star import Star
 MONEY = {"sales": "sales", "profit": "order_profit_per_order"}
 UNITS = {**MONEY, "units": "order_item_quantity"}
 ORDERS = {"orders": "order_id"}
-MARGIN = percent("profit", "sales")
+
+
+def margin_pct() -> Column:
+    return percent("profit", "sales").alias("margin_pct")
 
 
 def total(small: DataFrame, column: str) -> Column:
@@ -21,7 +24,7 @@ def total(small: DataFrame, column: str) -> Column:
 
 def kpi_headline(star: Star) -> DataFrame:
     kpi = star.aggregate(sums=MONEY, distinct=ORDERS).withColumns({
-        "avg_order_value": ratio("sales", "orders"), "margin_pct": MARGIN})
+        "avg_order_value": ratio("sales", "orders"), "margin_pct": margin_pct()})
     return kpi.select(
         F.col("sales").alias("total_sales"), F.col("profit").alias("total_profit"),
         F.col("orders").alias("total_orders"), "avg_order_value", "margin_pct",
@@ -38,12 +41,12 @@ def monthly_trend(star: Star) -> DataFrame:
 
 
 def yearly_performance(star: Star) -> DataFrame:
-    return (star.aggregate(["year"], MONEY).withColumn("margin_pct", MARGIN)
+    return (star.aggregate(["year"], MONEY).withColumn("margin_pct", margin_pct())
             .select("year", "sales", "profit", "margin_pct").orderBy("year"))
 
 
 def market_performance(star: Star) -> DataFrame:
-    return (star.aggregate(["market"], MONEY, distinct=ORDERS).withColumn("margin_pct", MARGIN)
+    return (star.aggregate(["market"], MONEY, distinct=ORDERS).withColumn("margin_pct", margin_pct())
             .select("market", "sales", "profit", "orders", "margin_pct",
                     derive.above(F.col("margin_pct"), 10).alias("status"))
             .orderBy("sales", "market"))
@@ -62,7 +65,7 @@ def segment_analysis(star: Star) -> DataFrame:
 
 def product_performance(star: Star) -> DataFrame:
     return star.aggregate(["product_name"], UNITS).select(
-        "product_name", "sales", "profit", "units", MARGIN.alias("margin_pct"))
+        "product_name", "sales", "profit", "units", margin_pct())
 
 
 def top_products(star: Star, measure: str = "sales", n: int = 10) -> DataFrame:
@@ -71,7 +74,7 @@ def top_products(star: Star, measure: str = "sales", n: int = 10) -> DataFrame:
 
 
 def department_performance(star: Star) -> DataFrame:
-    return (star.aggregate(["department_name"], UNITS).withColumn("margin_pct", MARGIN)
+    return (star.aggregate(["department_name"], UNITS).withColumn("margin_pct", margin_pct())
             .select("department_name", "sales", "profit", "units", "margin_pct",
                     derive.above(F.col("margin_pct"), 0).alias("status"))
             .orderBy(F.desc("sales"), "department_name"))
@@ -92,7 +95,7 @@ def discount_band_profit(star: Star) -> DataFrame:
 
 def country_performance(star: Star) -> DataFrame:
     return star.aggregate(["market", "order_country"], MONEY, distinct=ORDERS).select(
-        "market", "order_country", "sales", "profit", "orders", MARGIN.alias("margin_pct"))
+        "market", "order_country", "sales", "profit", "orders", margin_pct())
 
 
 def top_countries(star: Star, n: int = 15) -> DataFrame:

@@ -88,7 +88,7 @@ LINE_COLUMNS: Columns = {
     "order_item_quantity": lambda: F.col("l_quantity").cast("int"),
     "order_item_discount": _discount,
     "order_item_discount_rate": _rate,
-    "order_item_product_price": lambda: _sales() / F.col("l_quantity"),
+    "order_item_product_price": lambda: F.floor(_sales() / F.col("l_quantity")).cast("double"),
     "order_item_profit_ratio": _margin,
     "order_item_total": _net,
     "benefit_per_order": _profit,
