@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cargolens.functions import derive
 from cargolens.functions.text import to_int, to_timestamp
 from cargolens.operators import cleaning, star
+from cargolens.operators.dictionary import data_dictionary
 from cargolens.operators.forward_fill import forward_fill
 from cargolens.schemas import (DROPPED_COLUMNS, FLOAT_COLUMNS, INFERRED_INT_COLUMNS, INT_COLUMNS,
                                RAW_DATE_COLUMNS, RAW_NUMERIC_FIELDS, WEBLOG_REQUIRED)
+from cargolens.session import stage
+from cargolens.sources import readers, writers
 
 
 def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str]) -> DataFrame:
@@ -126,3 +129,22 @@ def quality_report(raw: DataFrame, row_seq: str = "row_seq",
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("metric"), value.cast("bigint").alias("value"))
         for name, value in metrics])).alias("t")).select("t.*")
+
+
+def run(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target: str,
+        formats: list[str] = cleaning.DATE_FORMATS, money_type: str = "double",
+        web_limit: int | None = None) -> dict[str, str]:
+    """Raw CSV files to published star tables; returns the path of each table.
+
+    The extract is stored with its row numbers and again once cleaned, so that the five
+    tables split off it do not each repeat the cleaning. ``web_limit`` cuts the web log to
+    its leading rows by time.
+    """
+    raw = stage(readers.with_row_seq(readers.read_orders(spark, orders)), "orders_raw")
+    clean = stage(clean_orders(raw, formats=formats, money_type=money_type), "orders_clean")
+    hits = clean_weblogs(readers.read_weblogs(spark, weblogs), formats)
+    if web_limit is not None:
+        hits = writers.first_rows(hits, ["date", "product", "ip", "url"], web_limit)
+    tables = build_star(clean, hits)
+    tables["data_dictionary"] = data_dictionary(readers.read_dictionary(spark, dictionary))
+    return writers.publish_star(tables, target)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,9 +56,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Used where a plan reads the same rows in several branches and row numbers
     must not change between them, and so that a lost executor recomputes from
-    the stored rows instead of the whole upstream plan.
+    the stored rows instead of the whole upstream plan. Every call gets a folder of its
+    own below the application's folder, which can go when the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -260,7 +260,7 @@ def profile() -> str:
     for c in times + numbers:
         v = f"epoch({c})" if c in times else f"CAST({c} AS DOUBLE)"
         std = "NULL" if c in times else f"round(stddev_samp({v}), 6)"
-        rows.append(f"""SELECT '{c}', count({c}), NULL, NULL, NULL, round(avg({v}), 6), {std},
+        rows.append(f"""SELECT '{c}', count({c}), NULL, NULL, NULL, round(avg({v}) + {NUDGE}, 6), {std},
   round(min({v}), 6), round(quantile_cont({v}, 0.25), 6), round(quantile_cont({v}, 0.5), 6),
   round(quantile_cont({v}, 0.75), 6), round(max({v}), 6) FROM f""")
     base = f"""f AS (SELECT *, {PERFORMANCE} AS shipping_performance, {CATEGORY} AS profit_category,

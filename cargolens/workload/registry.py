@@ -34,7 +34,7 @@ DIGITS = {
 
 # Money per order or customer often ends exactly in a half at the last place kept. The
 # double just below or above it would decide, so such values are lifted first.
-LIFTED = {"avg_order_value", "profit_per_customer", "sales_per_customer", "avg_profit"}
+LIFTED = {"avg_order_value", "profit_per_customer", "sales_per_customer", "avg_profit", "mean"}
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -191,8 +191,7 @@ def dim_order(spark: SparkSession, path: str) -> DataFrame:
     return model.dim_order(proxy.wide(spark, path), proxy.LINE_ORDER)
 
 
-def star_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    wide = proxy.wide(spark, path)
+def star_tables(wide: DataFrame, spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {
         "fact_orders": model.fact_orders(wide),
         "dim_customer": model.dim_customer(wide, proxy.LINE_ORDER),
@@ -204,18 +203,23 @@ def star_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def row_counts(spark: SparkSession, path: str) -> DataFrame:
-    return writers.table_counts(star_tables(spark, path))
+    return writers.table_counts(star_tables(proxy.wide(spark, path), spark, path))
+
+
+def _stored_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Star tables split off a stored copy of the lines, joined once instead of per table."""
+    return star_tables(stage(proxy.wide(spark, path), "wide"), spark, path)
 
 
 def publish_star(spark: SparkSession, path: str) -> DataFrame:
     base = f"{shared_dir(spark)}/star"
-    stored = writers.publish_star(star_tables(spark, path), base)
+    stored = writers.publish_star(_stored_star(spark, path), base)
     return writers.table_counts(readers.read_star(spark, base, list(stored)))
 
 
 def _published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     base = f"{shared_dir(spark)}/warehouse"
-    writers.publish_warehouse(conform.conform(star_tables(spark, path)), base)
+    writers.publish_warehouse(conform.conform(_stored_star(spark, path)), base)
     return writers.read_warehouse(spark, base)
 
 
