@@ -24,7 +24,7 @@ ACCURACY = 10_000          # the sketch's rank error is at most rows / ACCURACY
 MARGIN = 10 / ACCURACY     # a bracket reaches ten times that error to either side
 WHOLE_BELOW = 100_000      # up to this many rows the bracket is the whole range
 SLOTS = 4096               # equal-width slots that narrow a crowded bracket further
-CROWDED = 1_000_000        # distinct values a bracket may hold before it is narrowed
+CROWDED = 1_000_000        # distinct values a span may hold before it is narrowed
 
 
 def _merge(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -65,7 +65,7 @@ def _bracket_counts(long: DataFrame, brackets: list[list[tuple[float, float]]])
             .groupBy("i", "j", "x").agg(F.count("*").alias("cnt")))
 
 
-def _entries_at(counts: DataFrame, ranks: dict[int, int], key: Column) -> dict[int, list[Row]]:
+def _entries_at(counts: DataFrame, ranks: dict[int, int]) -> dict[int, list[Row]]:
     """Of the ordered entries of each target, those that hold its rank and the next one.
 
     ``counts`` has rows (k, x, cnt); the window sees one bracket or slot per task.
@@ -74,7 +74,7 @@ def _entries_at(counts: DataFrame, ranks: dict[int, int], key: Column) -> dict[i
     rank = F.create_map(*[F.lit(v) for item in ranks.items() for v in item])[F.col("k")]
     rows = (counts.withColumn("upto", F.sum("cnt").over(order))
             .where((F.col("upto") > rank) & (F.col("upto") - F.col("cnt") <= rank + 1))
-            .select("k", key.alias("x"), "upto", "cnt").orderBy("k", "x").collect())
+            .select("k", "x", "upto", "cnt").orderBy("k", "x").collect())
     found: dict[int, list[Row]] = {}
     for row in rows:
         found.setdefault(row["k"], []).append(row)
@@ -116,22 +116,25 @@ def _values_of(counts: DataFrame, targets: dict[int, _Target]) -> DataFrame:
 
 
 def _narrow(counts: DataFrame, targets: dict[int, _Target],
-            brackets: list[list[tuple[float, float]]]) -> None:
-    """Cut crowded brackets to the slots that hold the ranks."""
-    ends = F.create_map(*[v for k, t in targets.items() for v in (
-        F.lit(k), F.array(*[F.lit(float(e)) for e in brackets[t.i][t.j]]))])[F.col("k")]
-    lo, hi = ends[0], ends[1]
+            brackets: list[list[tuple[float, float]]]) -> dict[int, int]:
+    """Cut each target's span to the slots that hold its ranks; returns the values left."""
+    spans = F.create_map(*[v for k, t in targets.items() for v in (
+        F.lit(k), F.array(*[F.lit(float(e)) for e in t.span or brackets[t.i][t.j]]))])
+    lo, hi = spans[F.col("k")][0], spans[F.col("k")][1]
     share = F.when(hi > lo, (F.col("x") - lo) / (hi - lo)).otherwise(0.0)
     slot = F.least(F.floor(share * SLOTS), F.lit(SLOTS - 1))
     slots = (_values_of(counts, targets).groupBy("k", slot.alias("slot"))
-             .agg(F.sum("cnt").alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-             .select("k", F.struct("slot", "lo", "hi").alias("x"), "cnt"))
-    ranks = {k: t.ranks[0] for k, t in targets.items()}
-    found = _entries_at(slots, ranks, F.col("x"))
+             .agg(F.sum("cnt").alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+                  F.count("*").alias("values"))
+             .select("k", F.struct("slot", "lo", "hi", "values").alias("x"), "cnt"))
+    found = _entries_at(slots, {k: t.ranks[0] for k, t in targets.items()})
+    left = {}
     for k, t in targets.items():
         rows = t.check(found.get(k, []))
         t.span = (rows[0]["x"]["lo"], rows[-1]["x"]["hi"])
         t.below += rows[0]["upto"] - rows[0]["cnt"]
+        left[k] = sum(r["x"]["values"] for r in rows)
+    return left
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
@@ -167,12 +170,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
         for t in targets.values():
             t.below = sum(r["rows"] for (i, j), r in sizes.items() if i == t.i and j < t.j)
             t.below += sizes[t.i, t.j]["gap"] if (t.i, t.j) in sizes else 0
-        crowded = {k: t for k, t in targets.items()
-                   if (t.i, t.j) in sizes and sizes[t.i, t.j]["values"] > CROWDED}
-        if crowded:
-            _narrow(counts, crowded, brackets)
+        left = {k: sizes[t.i, t.j]["values"] for k, t in targets.items() if (t.i, t.j) in sizes}
+        while crowded := {k: targets[k] for k, size in left.items() if size > CROWDED}:
+            before = left
+            left = _narrow(counts, crowded, brackets)
+            left = {k: size for k, size in left.items() if size < before[k]}
         found = _entries_at(_values_of(counts, targets),
-                            {k: t.ranks[0] for k, t in targets.items()}, F.col("x"))
+                            {k: t.ranks[0] for k, t in targets.items()})
         for k, t in targets.items():
             rows = t.check(found.get(k, []))
             v0 = rows[0]["x"]

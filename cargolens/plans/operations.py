@@ -30,7 +30,7 @@ def shipping_mode_performance(star: Star) -> DataFrame:
 def delivery_status_mix(star: Star) -> DataFrame:
     mix = star.aggregate(["delivery_status"])
     return (mix.select("delivery_status", "lines",
-                       percent(F.col("lines"), total(mix, "lines")).alias("share_pct"))
+                       percent("lines", total("lines")).alias("share_pct"))
             .orderBy(F.desc("lines"), "delivery_status"))
 
 
@@ -45,7 +45,7 @@ def fraud_summary(star: Star) -> DataFrame:
     """One row per fraud label with its lines, share of all lines and revenue."""
     labels = star.aggregate(["is_fraud"], {"revenue": "sales"})
     return (labels.select("is_fraud", "lines",
-                          percent(F.col("lines"), total(labels, "lines")).alias("share_pct"),
+                          percent("lines", total("lines")).alias("share_pct"),
                           "revenue", derive.fraud_flag(F.col("is_fraud")).alias("is_fraud_row"))
             .orderBy(F.desc("lines"), "is_fraud"))
 

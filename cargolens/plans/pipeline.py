@@ -16,9 +16,14 @@ from cargolens.sources import readers, writers
 
 
 def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str]) -> DataFrame:
-    """Unused columns off, timestamps read, equal rows merged. Defines row identity."""
+    """Unused columns off, timestamps read, equal rows merged. Defines row identity.
+
+    Stored once: filling the dates reads these rows in three branches, and the row
+    numbers of the scan must be the same in each.
+    """
     slim = cleaning.drop_columns(raw, DROPPED_COLUMNS)
-    return cleaning.dedupe_rows(cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats), row_seq)
+    dated = cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats)
+    return stage(cleaning.dedupe_rows(dated, row_seq), "orders_unique")
 
 
 def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
@@ -101,7 +106,8 @@ def quality_report(raw: DataFrame, row_seq: str = "row_seq",
                    formats: list[str] = cleaning.DATE_FORMATS) -> DataFrame:
     """Metrics of one cleaning run as (metric, value): rows, columns and missing values.
 
-    Three aggregates that each shuffle a single row per task.
+    Three aggregates over the extract and the stored unique rows, each shuffling a single
+    row per task.
     """
     def missing(df: DataFrame) -> Column:
         parts = [F.when(cleaning.quoted(c).isNull(), 1).otherwise(0)
@@ -136,11 +142,10 @@ def run(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target:
         web_limit: int | None = None) -> dict[str, str]:
     """Raw CSV files to published star tables; returns the path of each table.
 
-    The extract is stored with its row numbers and again once cleaned, so that the five
-    tables split off it do not each repeat the cleaning. ``web_limit`` cuts the web log to
-    its leading rows by time.
+    The cleaned lines are stored, so that the tables split off them do not each repeat the
+    cleaning. ``web_limit`` cuts the web log to its leading rows by time.
     """
-    raw = stage(readers.with_row_seq(readers.read_orders(spark, orders)), "orders_raw")
+    raw = readers.with_row_seq(readers.read_orders(spark, orders))
     clean = stage(clean_orders(raw, formats=formats, money_type=money_type), "orders_clean")
     hits = clean_weblogs(readers.read_weblogs(spark, weblogs), formats)
     if web_limit is not None:

@@ -40,7 +40,7 @@ def cart_conversion(hits: DataFrame) -> DataFrame:
            .groupBy("is_add_to_cart").agg(F.count("*").alias("hits")))
     return (mix.select("is_add_to_cart", derive.action_type(F.col("is_add_to_cart"))
                        .alias("action_type"), "hits",
-                       percent(F.col("hits"), total(mix, "hits")).alias("share_pct"))
+                       percent("hits", total("hits")).alias("share_pct"))
             .orderBy("is_add_to_cart"))
 
 

@@ -16,6 +16,7 @@ from cargolens.functions.text import standard_name
 from cargolens.operators import star as model
 from cargolens.operators.star import Star
 from cargolens.schemas import RAW_ORDER_FIELDS
+from cargolens.sources.readers import with_row_seq
 
 
 # Declared, so that planning a scan does not first run a job to read file footers.
@@ -261,15 +262,21 @@ def wide(spark: SparkSession, path: str, columns: Sequence[str] = tuple(WIDE)) -
     return pick(rows, columns, WIDE)
 
 
-def raw_orders(spark: SparkSession, path: str) -> DataFrame:
+def raw_orders(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Order lines as an untyped extract under the raw headers, with planted dirt:
 
     * order date missing for 3-MEDIUM orders, unreadable for 2-HIGH ones,
     * sales missing where the tax is 0.08 and not a number where it is 0.07,
     * segment BUILDING missing, quantity written as "7.0" where the discount is 0.10,
     * lines with number 7 written twice.
+
+    ``numbered`` adds ``row_seq`` in the order of order, item and product. The typed lines
+    are sorted for it, before they are turned into some fifty text columns.
     """
-    base = wide(spark, path).withColumns({
+    lines = wide(spark, path)
+    if numbered:
+        lines = with_row_seq(lines, ["order_id", "order_item_id", "product_card_id"])
+    base = lines.withColumns({
         "latitude": F.lit(None).cast("string"), "longitude": F.lit(None).cast("string"),
         "customer_fname": F.col("customer_city"), "customer_lname": F.lit(None).cast("string"),
         "customer_email": F.lit("x@example.com"), "customer_password": F.lit("x"),
@@ -295,9 +302,13 @@ def raw_orders(spark: SparkSession, path: str) -> DataFrame:
     }
     rows = base.select(*[
         dirty.get(standard_name(f), F.col(standard_name(f)).cast("string")).alias(f)
-        for f in RAW_ORDER_FIELDS], (F.col("order_item_id") % 10).alias("_line"))
-    copies = F.sequence(F.lit(1), F.when(F.col("_line") == 7, 2).otherwise(1))
-    return rows.withColumn("_copy", F.explode(copies)).drop("_line", "_copy")
+        for f in RAW_ORDER_FIELDS], (F.col("order_item_id") % 10).alias("_line"),
+        *(["row_seq"] if numbered else []))
+    copies = F.sequence(F.lit(0), F.when(F.col("_line") == 7, 1).otherwise(0))
+    rows = rows.withColumn("_copy", F.explode(copies))
+    if numbered:
+        rows = rows.withColumn("row_seq", F.col("row_seq") * 2 + F.col("_copy"))
+    return rows.drop("_line", "_copy")
 
 
 def web(spark: SparkSession, path: str) -> DataFrame:

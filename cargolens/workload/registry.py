@@ -282,28 +282,20 @@ def star_join(spark: SparkSession, path: str) -> DataFrame:
 
 # --- the cleaning pipeline on the dirty extract --------------------------------------
 
-def _numbered_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Dirty extract with a row number per row, stored so the numbers stay put."""
-    raw = proxy.raw_orders(spark, path)
-    order = [F.col("`Order Id`").cast("bigint"), F.col("`Order Item Id`").cast("bigint"),
-             F.col("`Product Card Id`").cast("bigint")]
-    return stage(readers.with_row_seq(raw, order), "raw_orders")
-
-
 def clean_orders(spark: SparkSession, path: str) -> DataFrame:
-    return rounded(model.fact_orders(pipeline.clean_orders(_numbered_raw(spark, path))))
+    return rounded(model.fact_orders(pipeline.clean_orders(proxy.raw_orders(spark, path, numbered=True))))
 
 
 def clean_star(spark: SparkSession, path: str) -> DataFrame:
     """Customer dimension of the cleaned extract: the first row in file order decides."""
-    clean = stage(pipeline.clean_orders(_numbered_raw(spark, path)), "clean_orders")
+    clean = stage(pipeline.clean_orders(proxy.raw_orders(spark, path, numbered=True)), "clean_orders")
     tables = pipeline.build_star(clean, first_day="1995-01-01", last_day="2001-12-31")
     return tables["dim_customer"].select("customer_id", "customer_segment", "market",
                                          "customer_full_location")
 
 
 def dq_report(spark: SparkSession, path: str) -> DataFrame:
-    return pipeline.quality_report(_numbered_raw(spark, path))
+    return pipeline.quality_report(proxy.raw_orders(spark, path, numbered=True))
 
 
 # --- reports ------------------------------------------------------------------------
