@@ -22,24 +22,32 @@ def fact_orders(wide: DataFrame) -> DataFrame:
     return wide.select(present(wide, FACT_COLUMNS))
 
 
+Rules = Mapping[str, tuple[list[str], Callable[..., Column]]]
+
+
+def _derive(df: DataFrame, rules: Rules) -> DataFrame:
+    """Add each derived column whose inputs exist."""
+    return df.withColumns({
+        name: rule(*[F.col(c) for c in inputs]) for name, (inputs, rule) in rules.items()
+        if set(inputs) <= set(df.columns)})
+
+
 def dim_customer(wide: DataFrame, order: list[str]) -> DataFrame:
     dim = first_row_per_key(wide, "customer_id", present(wide, CUSTOMER_COLUMNS), order)
-    return dim.withColumn("customer_full_location", derive.full_location(
-        F.col("customer_city"), F.col("customer_country")))
+    return _derive(dim, {"customer_full_location": (
+        ["customer_city", "customer_country"], derive.full_location)})
 
 
 def dim_product(wide: DataFrame, order: list[str]) -> DataFrame:
     dim = first_row_per_key(wide, "product_card_id", present(wide, PRODUCT_COLUMNS), order)
-    return dim.withColumns({
-        "stock_status": derive.stock_status(F.col("product_status")),
-        "price_range": derive.price_range(F.col("product_price"))})
+    return _derive(dim, {"stock_status": (["product_status"], derive.stock_status),
+                         "price_range": (["product_price"], derive.price_range)})
 
 
 def dim_order(wide: DataFrame, order: list[str]) -> DataFrame:
     dim = first_row_per_key(wide, "order_id", present(wide, ORDER_COLUMNS), order)
-    return dim.withColumns({
-        "status_group": derive.status_group(F.col("order_status")),
-        "delivery_risk_flag": derive.delivery_risk_flag(F.col("delivery_status"))})
+    return _derive(dim, {"status_group": (["order_status"], derive.status_group),
+                         "delivery_risk_flag": (["delivery_status"], derive.delivery_risk_flag)})
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -164,8 +172,8 @@ class Star:
             parts |= {f"_n_{v}": F.when(F.col(v).isNotNull(), 1) for v in means.values()}
             for c in own:
                 rows = rows.where(F.col(c).isNotNull())
-            rows = rows.select(*own, *set(distinct.values()) - set(own),
-                               F.lit(1).alias("_lines"), *[e.alias(n) for n, e in parts.items()])
+            counted = [c for c in dict.fromkeys(distinct.values()) if c not in own]
+            rows = rows.select(*own, *counted, F.lit(1).alias("_lines"), *[e.alias(n) for n, e in parts.items()])
             unique_key = None
         else:
             level = list(dict.fromkeys([*own, *foreign, *distinct.values()]))

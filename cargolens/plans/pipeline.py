@@ -82,7 +82,7 @@ def clean_weblogs(raw: DataFrame, formats: list[str] = cleaning.DATE_FORMATS) ->
         "Year": F.year("Date"), "Month_Num": F.month("Date"), "Day": F.dayofmonth("Date"),
         "is_add_to_cart": flag, "action_type": derive.action_type(flag),
         "hour_group": derive.hour_group(F.col("Hour"))})
-    return rows.toDF(*[c.strip().lower().replace(" ", "_") for c in rows.columns])
+    return rows.toDF(*["_".join(c.lower().split()) for c in rows.columns])
 
 
 def build_star(clean: DataFrame, weblogs: DataFrame | None = None,

@@ -249,7 +249,7 @@ def profile() -> str:
                "order_item_discount", "order_item_discount_rate", "order_item_product_price",
                "order_item_profit_ratio", "days_for_shipping_real", "days_for_shipment_scheduled",
                "shipping_delay_days", "late_delivery_risk", "order_year", "order_month",
-               "order_week_number"]
+               "order_week_number", "order_item_total", "benefit_per_order", "sales_per_customer"]
     rows = []
     for c in text:
         rows.append(f"""SELECT '{c}' AS column_name, count({c}) AS count,
@@ -263,7 +263,8 @@ def profile() -> str:
         rows.append(f"""SELECT '{c}', count({c}), NULL, NULL, NULL, round(avg({v}) + {NUDGE}, 6), {std},
   round(min({v}), 6), round(quantile_cont({v}, 0.25), 6), round(quantile_cont({v}, 0.5), 6),
   round(quantile_cont({v}, 0.75), 6), round(max({v}), 6) FROM f""")
-    base = f"""f AS (SELECT *, {PERFORMANCE} AS shipping_performance, {CATEGORY} AS profit_category,
+    base = f"""f AS (SELECT *, net_revenue AS order_item_total, net_revenue AS sales_per_customer,
+  order_profit_per_order AS benefit_per_order, {PERFORMANCE} AS shipping_performance, {CATEGORY} AS profit_category,
   {TIER} AS profit_tier, {DISCOUNT} AS discount_tier, {parts('order_date_dateorders')} FROM w)"""
     return wide(" UNION ALL ".join(rows), base)
 
