@@ -76,11 +76,10 @@ def describe(df: DataFrame) -> DataFrame:
     numbers = [c for c in df.columns if c not in text and c not in times]
 
     def seconds(c: str) -> Column:
-        return F.unix_timestamp(F.col(c).cast("timestamp")).cast("double")
+        return F.unix_timestamp(F.col(c).cast("timestamp"))
 
     measured = times + numbers
-    numeric = df.select(*[seconds(c).alias(c) for c in times],
-                        *[F.col(c).cast("double").alias(c) for c in numbers])
+    numeric = df.select(*[seconds(c).alias(c) for c in times], *numbers)
 
     name_of = F.array(*[F.lit(c) for c in measured])[F.col("i")]
     timed = F.col("i") < len(times)

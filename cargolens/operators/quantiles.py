@@ -8,7 +8,8 @@ a guess.
 
 Like ``DataFrame.approxQuantile`` this runs at once and returns plain lists. What comes
 to the driver is a few numbers per column and probability, whatever the row count. The
-frame is scanned twice: stage it first if it is costly or not repeatable.
+frame is scanned three times, once just for counts and ranges: stage it first if it is
+costly or not repeatable.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from cargolens.session import stage
 
 ACCURACY = 10_000          # the sketch's rank error is at most rows / ACCURACY
 MARGIN = 10 / ACCURACY     # a bracket reaches ten times that error to either side
-WHOLE_BELOW = 100_000      # up to this many rows the bracket is the whole range
+WHOLE_BELOW = 100_000      # up to this many rows or values the bracket is the whole range
 SLOTS = 4096               # equal-width slots that narrow a crowded bracket further
 CROWDED = 1_000_000        # distinct values a span may hold before it is narrowed
 
@@ -141,23 +142,31 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     probabilities: Sequence[float]) -> dict[str, list[float] | None]:
     """Quantiles per column, None for a column without values. Nulls are ignored."""
     inner = sorted({p for p in probabilities if 0 < p < 1})
-    edges = [e for p in inner or [0.5] for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    sketch = df.agg(*[F.struct(
+    spread = df.agg(*[F.struct(
         F.count(c).alias("n"), F.min(c).cast("double").alias("lo"),
-        F.max(c).cast("double").alias("hi"),
-        F.percentile_approx(F.col(c).cast("double"), edges, ACCURACY).alias("edges")).alias(c)
-        for c in columns]).first()
+        F.max(c).cast("double").alias("hi")).alias(c) for c in columns]).first()
+    whole_numbers = {c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
+
+    def bounded(c: str) -> bool:
+        """Few rows or few possible values: the whole range serves as the bracket."""
+        s = spread[c]
+        return s["n"] <= WHOLE_BELOW or (c in whole_numbers and s["hi"] - s["lo"] < WHOLE_BELOW)
+
+    sketched = [c for c in columns if inner and not bounded(c)]
+    edges = [e for p in inner for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), edges, ACCURACY).alias(c)
+                      for c in sketched]).first() if sketched else {}
 
-    # Per column: the brackets, one whole-range bracket if the column is short.
     brackets, targets = [], {}
     for i, c in enumerate(columns):
-        s = sketch[c]
-        whole = s["n"] <= WHOLE_BELOW
-        ends = list(zip(s["edges"][::2], s["edges"][1::2])) if s["n"] else []
-        brackets.append([(s["lo"], s["hi"])] * bool(ends) if whole else _merge(ends))
-        for p, (lo, _) in zip(inner, ends):
+        s = spread[c]
+        ends = [(s["lo"], s["hi"])] * len(inner)
+        if c in sketched:
+            ends = list(zip(sketch[c][::2], sketch[c][1::2]))
+        brackets.append(_merge(ends) if s["n"] else [])
+        for p, (lo, _) in zip(inner, ends if s["n"] else []):
             t = targets[len(targets)] = _Target(i, p, s["n"])
-            t.j = 0 if whole else next(j for j, b in enumerate(brackets[i]) if lo <= b[1])
+            t.j = next(j for j, b in enumerate(brackets[i]) if lo <= b[1])
 
     results = {}
     if targets:
@@ -184,6 +193,6 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
             results[columns[t.i], t.p] = v0 + (v1 - v0) * t.fraction
 
     for c in columns:
-        results[c, 0], results[c, 1] = sketch[c]["lo"], sketch[c]["hi"]
-    return {c: [results[c, p] for p in probabilities] if sketch[c]["n"] else None
+        results[c, 0], results[c, 1] = spread[c]["lo"], spread[c]["hi"]
+    return {c: [results[c, p] for p in probabilities] if spread[c]["n"] else None
             for c in columns}

@@ -22,7 +22,8 @@ def skewed_columns(n):
         "smooth": smooth, "hot": hot, "flag": (np.arange(n) % 10 < 3).astype(float),
         "constant": 2.5, "tail": np.exp(rng.normal(scale=4, size=n)),
         "gaps": pd.Series([None if i % 4 == 0 else float(i) for i in range(n)], dtype="float64"),
-        "empty": pd.Series([None] * n, dtype="float64")})
+        "empty": pd.Series([None] * n, dtype="float64"),
+        "id": np.arange(n)[::-1] * 3, "few": np.arange(n) % 17})
 
 
 @pytest.mark.parametrize("n, whole_below, crowded", [
@@ -33,7 +34,8 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, n, whole_below, crowded
     monkeypatch.setattr(quantiles, "CROWDED", crowded)
     data = skewed_columns(n)
     df = spark.createDataFrame(data).repartition(5)
-    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns])
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c, t in df.dtypes if t == "double"],
+                   "id", "few")
     got = quantiles.exact_quantiles(df, list(data.columns), PROBABILITIES)
     for c in data.columns:
         values = data[c].dropna()
