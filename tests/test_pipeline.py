@@ -135,6 +135,18 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+@pytest.mark.parametrize("limit", [1, 37, 400, 4000])
+def test_first_rows_of_a_long_table(spark, limit):
+    """A third of the rows share one lead value, some have none."""
+    rows = [(None if i % 50 == 0 else 5 if i % 3 == 0 else i * 7919 % 4001, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "t INT, id INT").repartition(6)
+    got = [tuple(r) for r in writers.first_rows(df, ["t", "id"], limit).collect()]
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:limit]
+    assert got == want
+    names = df.select(F.col("id").cast("string").alias("s"))
+    assert writers.first_rows(names, ["s"], limit).count() == limit
+
+
 def test_row_numbers_follow_the_requested_order(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(6)
     rows = readers.with_row_seq(df, ["k"]).collect()
