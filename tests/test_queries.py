@@ -13,6 +13,8 @@ spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_ent
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
+REGISTERED = entry.registry.QUERIES
+
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="benchmark tables not present")
 
 
@@ -31,10 +33,12 @@ def canonical(rows, columns):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTERED) == set(entry.oracle.SQL)
+    assert set(REGISTERED) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_query_matches_sql(spark, database, name):
     got = entry.queries()[name](spark, str(DATA))
     cursor = database.execute(entry.oracle_sql()[name])
