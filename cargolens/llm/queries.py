@@ -4,19 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from cargolens.llm import grace_dedup
+from cargolens.llm import grace_dedup, minhash
 from cargolens.llm.common import table
 
 
+def op9_minhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, path, "documents"), minhash.Plan(shingle=2))
+
+
 def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return grace_dedup.duplicate_groups(table(spark, path, "documents"))
 
 
 QUERIES = {
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL = {
+    "op9_minhash_near_dedup": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT doc_id, unnest(list_distinct(CASE
+                       WHEN len(w) < 2 THEN w
+                       ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                   END)) AS s
+            FROM texts),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM shared
+            JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+            WHERE 100 * shared.n >= 80 * (a.n + b.n - shared.n)),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT reached.doc_id, y FROM reached JOIN links ON other = x),
+        lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM lowest LEFT JOIN sizes USING (doc_id)""",
     "op10_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, coalesce(text, '') AS text,
