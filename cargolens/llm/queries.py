@@ -4,8 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from cargolens.llm import grace_dedup, minhash
+from cargolens.llm import grace_dedup, minhash, mixing
 from cargolens.llm.common import table
+from cargolens.llm.sum_of_squares import pack
+from cargolens.llm.tokens import token_pieces
+
+
+def packed_digests(docs: DataFrame) -> DataFrame:
+    pieces = token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(pieces)
+
+
+def op3_sum_of_squares_packing(spark: SparkSession, path: str) -> DataFrame:
+    return packed_digests(table(spark, path, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, path: str) -> DataFrame:
+    return mixing.taken_words(table(spark, path, "documents"))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
@@ -17,6 +32,8 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op6_source_mixing": op6_source_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
