@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from cargolens.llm import grace_dedup, minhash, mixing
+from cargolens.llm import grace_dedup, minhash, mixing, quality_rules
 from cargolens.llm.common import table
 from cargolens.llm.sum_of_squares import pack
 from cargolens.llm.tokens import token_pieces
@@ -23,6 +23,10 @@ def op6_source_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.taken_words(table(spark, path, "documents"))
 
 
+def op7_adaptive_quality(spark: SparkSession, path: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, path, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, path, "documents"), minhash.Plan(shingle=2))
 
@@ -34,11 +38,82 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 QUERIES = {
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op6_source_mixing": op6_source_mixing,
+    "op7_adaptive_quality": op7_adaptive_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL = {
+    "op7_adaptive_quality": r"""
+        WITH texts AS (
+            SELECT doc_id, lang, source, coalesce(text, '') AS text,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l:
+                               regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        windows AS (
+            SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM texts WHERE len(w) >= 5),
+        repeated AS (
+            SELECT doc_id, i, count(*) OVER (
+                       PARTITION BY doc_id, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS times
+            FROM windows),
+        covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(5) t(k)
+            WHERE times > 1 GROUP BY doc_id),
+        counts AS (
+            SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                   CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   len(lines) AS n_lines, coalesce(covered.n, 0) AS n_repeat_words
+            FROM texts LEFT JOIN covered USING (doc_id)),
+        based AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+        ratios AS (
+            SELECT doc_id, lang, source, 0 AS ratio, 1000 * word_chars // n_words AS v FROM based
+            WHERE NOT base_failed
+            UNION ALL SELECT doc_id, lang, source, 1, 10000 * n_symbols // word_chars FROM based
+            WHERE NOT base_failed
+            UNION ALL SELECT doc_id, lang, source, 2, 10000 * n_dup_lines // n_lines FROM based
+            WHERE NOT base_failed
+            UNION ALL SELECT doc_id, lang, source, 3, 10000 * n_repeat_words // n_words FROM based
+            WHERE NOT base_failed),
+        bits AS (SELECT *, greatest(0, length(bin(v)) - 8) AS b FROM ratios),
+        buckets AS (SELECT *, (v >> b) << b AS bucket FROM bits),
+        levels AS (
+            SELECT ratio, 'own' AS level, lang, source, bucket FROM buckets
+            UNION ALL SELECT ratio, 'lang', lang, NULL, bucket FROM buckets
+            UNION ALL SELECT ratio, 'all', NULL, NULL, bucket FROM buckets),
+        ranked AS (
+            SELECT ratio, level, lang, source, bucket,
+                   row_number() OVER (PARTITION BY ratio, level, lang, source ORDER BY bucket) AS k,
+                   count(*) OVER (PARTITION BY ratio, level, lang, source) AS n
+            FROM levels),
+        quartiles AS (
+            SELECT ratio, level, lang, source, any_value(n) AS n,
+                   min(bucket) FILTER (4 * k >= n) AS q1, min(bucket) FILTER (4 * k >= 3 * n) AS q3
+            FROM ranked GROUP BY ALL),
+        fences AS (
+            SELECT ratio, level, lang, source, n,
+                   q1 - 3 * greatest(q3 - q1, [100, 100, 1500, 500][ratio + 1]) AS low,
+                   q3 + 3 * greatest(q3 - q1, [100, 100, 1500, 500][ratio + 1]) AS high
+            FROM quartiles),
+        verdicts AS (
+            SELECT doc_id, bool_and(CASE
+                       WHEN o.n >= 100 THEN v BETWEEN o.low AND o.high
+                       WHEN l.n >= 100 THEN v BETWEEN l.low AND l.high
+                       ELSE v BETWEEN a.low AND a.high END) AS inside
+            FROM ratios r
+            JOIN fences o ON o.level = 'own' AND o.ratio = r.ratio
+                 AND o.lang IS NOT DISTINCT FROM r.lang AND o.source IS NOT DISTINCT FROM r.source
+            JOIN fences l ON l.level = 'lang' AND l.ratio = r.ratio
+                 AND l.lang IS NOT DISTINCT FROM r.lang
+            JOIN fences a ON a.level = 'all' AND a.ratio = r.ratio
+            GROUP BY doc_id)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce(inside, true) AS kept
+        FROM based LEFT JOIN verdicts USING (doc_id)""",
     "op9_minhash_near_dedup": r"""
         WITH RECURSIVE texts AS (
             SELECT doc_id, list_filter(string_split_regex(
