@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from cargolens.llm import grace_dedup, minhash, mixing, quality_rules
+from cargolens.llm import chat_format, grace_dedup, minhash, mixing, quality_rules
 from cargolens.llm.common import table
 from cargolens.llm.sum_of_squares import pack
 from cargolens.llm.tokens import token_pieces
@@ -19,6 +19,17 @@ def op3_sum_of_squares_packing(spark: SparkSession, path: str) -> DataFrame:
     return packed_digests(table(spark, path, "documents"))
 
 
+# The conversation that the contract adds.
+ADDED_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"),
+                      (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op5_chat_round_trip(spark: SparkSession, path: str) -> DataFrame:
+    turns = table(spark, path, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(ADDED_CONVERSATION, turns.schema)
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(added)))
+
+
 def op6_source_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mixing.taken_words(table(spark, path, "documents"))
 
@@ -37,6 +48,7 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 
 QUERIES = {
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op5_chat_round_trip": op5_chat_round_trip,
     "op6_source_mixing": op6_source_mixing,
     "op7_adaptive_quality": op7_adaptive_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
@@ -44,6 +56,29 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_chat_round_trip": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        shown AS (
+            SELECT *, CASE WHEN regexp_matches(role || chr(10) || text,
+                                               '</?s>|\[/?INST\]|\\e|\\l|\\b')
+                THEN length(replace(replace(replace(replace(replace(role || text, '\', '\e'),
+                         '<s>', '\ls>'), '</s>', '\l/s>'), '[INST]', '\bINST]'),
+                         '[/INST]', '\b/INST]'))
+                ELSE length(role || text) END + length('<s>[INST][/INST]</s>') AS chars
+            FROM turns),
+        joined AS (
+            SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                            FILTER (role = 'assistant'), '') AS loss
+            FROM shown GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars
+        FROM joined""",
     "op7_adaptive_quality": r"""
         WITH texts AS (
             SELECT doc_id, lang, source, coalesce(text, '') AS text,
