@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from cargolens.llm import chat_format, grace_dedup, minhash, mixing, quality_rules
+from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, minhash, mixing, quality_rules,
+                           secret_scan)
 from cargolens.llm.common import table
 from cargolens.llm.sum_of_squares import pack
 from cargolens.llm.tokens import token_pieces
 
 
+def op2_best_fit_sharding(spark: SparkSession, path: str) -> DataFrame:
+    sharded = bfd_sharding.shard_documents(table(spark, path, "documents"), shards=8)
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
+
+
 def packed_digests(docs: DataFrame) -> DataFrame:
     pieces = token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(pieces)
@@ -19,6 +26,10 @@ def op3_sum_of_squares_packing(spark: SparkSession, path: str) -> DataFrame:
     return packed_digests(table(spark, path, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, path: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, path, "documents"))
+
+
 # The conversation that the contract adds.
 ADDED_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"),
                       (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -47,7 +58,9 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_sharding": op2_best_fit_sharding,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
+    "op4_secret_scan": op4_secret_scan,
     "op5_chat_round_trip": op5_chat_round_trip,
     "op6_source_mixing": op6_source_mixing,
     "op7_adaptive_quality": op7_adaptive_quality,
