@@ -117,15 +117,17 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     own = _fences(sketch, ["lang", "source"])
     by_lang = _fences(sketch, ["lang"]).select(
         F.col("lang").alias("__lang"), F.struct("*").alias("by_lang"))
-    whole = _fences(sketch.withColumn("all", F.lit(1)), ["all"]).select(
-        F.lit(1).alias("__all"), F.struct("*").alias("whole"))
-    joined = (own.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang")), "left")
-              .withColumn("__one", F.lit(1)).join(whole, F.col("__one") == F.col("__all"), "left"))
-    return joined.select(
+    whole = _fences(sketch.withColumn("all", F.lit(1)), ["all"]).first()  # one row of numbers
+
+    def of_all(ratio: str) -> Column:
+        fence = whole[ratio] if whole else {"low": None, "high": None}
+        return F.struct(*[F.lit(fence[k]).cast("long").alias(k) for k in ("low", "high")])
+
+    return own.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang")), "left").select(
         F.col("lang").alias("__lang"), F.col("source").alias("__source"),
         *[F.when(F.col("rows") >= GROUP_ROWS, F.col(r))
           .when(F.col("by_lang.rows") >= GROUP_ROWS, F.col(f"by_lang.{r}"))
-          .otherwise(F.col(f"whole.{r}")).alias(f"__{r}_fence") for r in RATIOS])
+          .otherwise(of_all(r)).alias(f"__{r}_fence") for r in RATIOS])
 
 
 def judged(docs: DataFrame, columns: list[str]) -> DataFrame:
