@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
+import corpus_pipeline
 from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, minhash, mixing, quality_rules,
-                           secret_scan)
+                           secret_scan, sum_of_squares)
 from cargolens.llm.common import table
-from cargolens.llm.sum_of_squares import pack
-from cargolens.llm.tokens import token_pieces
 
 
 def op2_best_fit_sharding(spark: SparkSession, path: str) -> DataFrame:
@@ -17,13 +16,8 @@ def op2_best_fit_sharding(spark: SparkSession, path: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
-def packed_digests(docs: DataFrame) -> DataFrame:
-    pieces = token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(pieces)
-
-
 def op3_sum_of_squares_packing(spark: SparkSession, path: str) -> DataFrame:
-    return packed_digests(table(spark, path, "documents"))
+    return sum_of_squares.packed_documents(table(spark, path, "documents"))
 
 
 def op4_secret_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +52,7 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_best_fit_sharding": op2_best_fit_sharding,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op4_secret_scan": op4_secret_scan,

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from cargolens.llm.tokens import token_pieces
 from cargolens.session import stage
 
 PART_ITEMS = 50_000
@@ -89,3 +90,10 @@ def pack(items: DataFrame, capacity: int = 4096, part_items: int = PART_ITEMS) -
               .groupBy("__part").applyInPandas(run, "__packed long, offset long, sequence_id long"))
     return (stored.join(packed, F.col("__item") == F.col("__packed"))
             .select(*items.columns, "sequence_id", "offset"))
+
+
+def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
+    """Pieces of all texts with their place: doc_id, piece, start, length, ids_crc32, sequence_id,
+    offset. The ids themselves are left out; ``pack(token_pieces(docs))`` has them."""
+    pieces = token_pieces(docs, capacity).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(pieces, capacity)
