@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 import corpus_pipeline
 from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, minhash, mixing, quality_rules,
-                           secret_scan, sum_of_squares)
+                           revisits, secret_scan, sum_of_squares)
 from cargolens.llm.common import table
 
 
@@ -43,6 +43,13 @@ def op7_adaptive_quality(spark: SparkSession, path: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, path, "documents"))
 
 
+def op8_revisit_resolution(spark: SparkSession, path: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.records_of_pages(table(spark, path, "pages")))
+    headers = F.array_join(F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])), "\n")
+    return found.select("record_id", "key", "refers_to", "outcome", headers.alias("headers"),
+                        "payload_chars", "payload_sha256")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, path, "documents"), minhash.Plan(shingle=2))
 
@@ -59,6 +66,7 @@ QUERIES = {
     "op5_chat_round_trip": op5_chat_round_trip,
     "op6_source_mixing": op6_source_mixing,
     "op7_adaptive_quality": op7_adaptive_quality,
+    "op8_revisit_resolution": op8_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
@@ -157,6 +165,58 @@ SQL = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND coalesce(inside, true) AS kept
         FROM based LEFT JOIN verdicts USING (doc_id)""",
+    "op8_revisit_resolution": r"""
+        WITH fetched AS (
+            SELECT page_id, url, coalesce(html, '') AS html, 1704067200 + 60 * page_id AS t,
+                   '"' || md5(coalesce(html, ''))[1:16] || '"' AS tag,
+                   trim(regexp_replace(url, '#.*$', '', 's')) AS plain
+            FROM pages),
+        parts AS (
+            SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(plain,
+                       '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^.*@', ''), ':(80|443)?$', ''),
+                       '^www\.', '') AS host,
+                   regexp_replace(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1),
+                                  '/+$', '') AS path,
+                   array_to_string(list_sort(list_filter(string_split(
+                       regexp_extract(plain, '\?(.*)$', 1, 's'), '&'), lambda f: f <> ''
+                       AND NOT regexp_matches(f, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS query
+            FROM fetched),
+        pages_keyed AS (
+            SELECT *, CASE WHEN host <> '' THEN host || path ||
+                      CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS key
+            FROM parts),
+        visits AS (
+            SELECT 2 * page_id + 1 AS record_id, key, t + 3600 * (1 + page_id % 7) + 1 AS later,
+                   CASE WHEN page_id % 13 = 0 OR page_id % 11 = 0 THEN NULL
+                        WHEN page_id % 5 = 0 THEN '"changed"'
+                        WHEN page_id % 3 = 0 THEN 'W/' || tag ELSE tag END AS new_tag,
+                   CASE WHEN page_id % 13 <> 0 AND page_id % 11 = 0 THEN t END AS new_modified,
+                   CASE WHEN page_id % 13 = 0 OR page_id % 11 = 0 OR page_id % 5 = 0 THEN 'ETag'
+                        WHEN page_id % 3 = 0 THEN 'etag' ELSE 'ETag' END AS tag_name
+            FROM pages_keyed),
+        matched AS (
+            SELECT v.*, p.page_id, p.tag, p.t AS old_modified, p.html
+            FROM visits v LEFT JOIN pages_keyed p ON p.key = v.key AND p.t < v.later
+            QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY p.t DESC) = 1),
+        judged AS (
+            SELECT *, CASE WHEN page_id IS NULL THEN 'missing'
+                           WHEN new_tag IS NULL AND new_modified IS NULL THEN 'unverified'
+                           WHEN new_tag IS NOT NULL AND replace(new_tag, 'W/', '') = tag THEN 'resolved'
+                           WHEN new_tag IS NULL AND new_modified = old_modified THEN 'resolved'
+                           ELSE 'mismatch' END AS outcome
+            FROM matched)
+        SELECT record_id, key, 2 * page_id AS refers_to, outcome,
+               concat_ws(chr(10),
+                   CASE WHEN outcome = 'resolved' THEN concat_ws(chr(10), 'Content-Type: text/html',
+                        CASE WHEN new_tag IS NULL THEN 'ETag: ' || tag END,
+                        CASE WHEN new_modified IS NULL THEN 'Last-Modified: ' || old_modified END,
+                        'Content-Length: ' || strlen(html)) END,
+                   'Date: ' || later, 'cache-control: max-age=600',
+                   CASE WHEN outcome <> 'resolved' THEN 'Content-Length: 0' END,
+                   tag_name || ': ' || new_tag, 'last-modified: ' || new_modified) AS headers,
+               CASE WHEN outcome = 'resolved' THEN length(html) END AS payload_chars,
+               CASE WHEN outcome = 'resolved' THEN sha256(html) END AS payload_sha256
+        FROM judged""",
     "op9_minhash_near_dedup": r"""
         WITH RECURSIVE texts AS (
             SELECT doc_id, list_filter(string_split_regex(
