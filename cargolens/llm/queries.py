@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 import corpus_pipeline
-from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, minhash, mixing, quality_rules,
-                           revisits, secret_scan, sum_of_squares)
+from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, importance, minhash, mixing,
+                           quality_rules, revisits, secret_scan, sum_of_squares)
 from cargolens.llm.common import table
 
 
+def op1_importance_resampling(spark: SparkSession, path: str) -> DataFrame:
+    return importance.resample(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
 def op2_best_fit_sharding(spark: SparkSession, path: str) -> DataFrame:
     sharded = bfd_sharding.shard_documents(table(spark, path, "documents"), shards=8)
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -60,6 +64,7 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_importance_resampling": op1_importance_resampling,
     "op2_best_fit_sharding": op2_best_fit_sharding,
     "op3_sum_of_squares_packing": op3_sum_of_squares_packing,
     "op4_secret_scan": op4_secret_scan,
