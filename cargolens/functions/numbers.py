@@ -19,11 +19,11 @@ def percent(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def zero_safe_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson correlation over the rows where both sides are present.
+    """Pearson correlation over the rows where both sides are present; NaN is missing.
 
     NULL for a constant side or a single row, where ``corr`` would raise.
     """
-    x, y = col(x).cast("double"), col(y).cast("double")
+    x, y = nan_to_null(col(x).cast("double")), nan_to_null(col(y).cast("double"))
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

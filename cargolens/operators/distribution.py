@@ -7,7 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cargolens.functions.numbers import zero_safe_corr
-from cargolens.operators.quantiles import exact_quantiles, unpivot
+from cargolens.operators.quantiles import as_double, exact_quantiles, unpivot
+from cargolens.session import stage
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -15,9 +16,9 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
     Bins are left-closed, the last one closed; a value that the division puts next to
     its bin is moved by comparing it with the bin's own edges. A constant column is
-    widened by 0.5 to either side.
+    widened by 0.5 to either side. NaN is missing.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(as_double(column).alias("v")).where(F.col("v").isNotNull())
     lo, hi = F.min("v"), F.max("v")
     pad = F.when(lo == hi, 0.5).otherwise(0.0)
     bounds = values.agg(F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi")).alias("b"))
@@ -52,7 +53,7 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 3) -> Da
     aggregate with the moments of all pairs would be too wide to compile.
     """
     pairs = list(combinations(columns, 2))
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[as_double(c).alias(c) for c in columns])
     spread = values.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.col(a).alias("x"), F.col(b).alias("y"))
         for i, (a, b) in enumerate(pairs)])).alias("t")).select("t.*")
@@ -63,50 +64,55 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 3) -> Da
         "pair.*", "r")
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """Profile of every column, one row each.
-
-    Text columns get unique, top and freq (ties: the lowest value); numbers get mean,
-    std, min, quartiles and max; timestamps get the same without std, as seconds since
-    1970-01-01. Quartiles are exact.
-    """
-    types = dict(df.dtypes)
-    text = [c for c in df.columns if types[c] == "string"]
-    times = [c for c in df.columns if types[c] in ("timestamp", "timestamp_ntz", "date")]
-    numbers = [c for c in df.columns if c not in text and c not in times]
-
-    def seconds(c: str) -> Column:
-        return F.unix_timestamp(F.col(c).cast("timestamp"))
-
+def _numbers(df: DataFrame, times: list[str], numbers: list[str]) -> DataFrame:
+    """Profile rows of the stored number columns, ``times`` first."""
     measured = times + numbers
-    numeric = df.select(*[seconds(c).alias(c) for c in times], *numbers)
-
-    name_of = F.array(*[F.lit(c) for c in measured])[F.col("i")]
-    timed = F.col("i") < len(times)
     # Unpivoted, so that the aggregate stays small enough to compile; a row per column is
     # all that leaves a task.
-    stats = unpivot(numeric, measured).groupBy("i").agg(
+    stats = unpivot(df, measured).groupBy("i").agg(
         F.count("*").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    stats = stats.select(name_of.alias("column_name"), "count", "mean",
-                         F.when(~timed, F.col("std")).alias("std"), "min", "max")
-    quartiles = {c: q for c, q in exact_quantiles(
-        numeric, measured, [0.25, 0.5, 0.75]).items() if q}
-    which = F.create_map(*[v for c, q in quartiles.items() for v in (
-        F.lit(c), F.array(*[F.lit(x) for x in q]))])
-    numbers_out = stats.withColumns({
-        name: which[F.col("column_name")][i] for i, name in enumerate(["p25", "p50", "p75"])})
-
+        F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").alias("n"),
+        F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    spread = {c: {"n": 0} for c in measured} | {measured[r["i"]]: r for r in stats}
+    quartiles = exact_quantiles(df, measured, [0.25, 0.5, 0.75], spread)
+    rows = [(measured[r["i"]], r["count"], r["mean"], None if r["i"] < len(times) else r["std"],
+             r["min"], *quartiles[measured[r["i"]]], r["max"]) for r in stats]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, p25 DOUBLE, "
+              "p50 DOUBLE, p75 DOUBLE, max DOUBLE")
+
+
+def _texts(df: DataFrame, text: list[str]) -> DataFrame:
     # Value counts first: a value that fills a column is one row per task, not a hot group.
-    counts = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in text]))
-        .alias("t")).select("t.*").groupBy("column_name", "value").agg(F.count("*").alias("n")))
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+                      for c in text]).cast("array<struct<column_name:string,value:string>>")
+    counts = (df.select(F.explode(cells).alias("t")).select("t.*")
+              .groupBy("column_name", "value").agg(F.count("*").alias("n")))
     known = F.col("value").isNotNull()
-    text_out = counts.groupBy("column_name").agg(
+    return counts.groupBy("column_name").agg(
         F.sum(F.when(known, F.col("n")).otherwise(0)).alias("count"),
         F.count("value").alias("unique"),
         F.min_by("value", F.when(known, F.struct(-F.col("n"), "value"))).alias("top"),
         F.max(F.when(known, F.col("n"))).alias("freq"))
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """Profile of every column with a row, one row each.
+
+    Text columns get unique, top and freq (ties: the lowest value); numbers get mean,
+    std, min, quartiles and max; timestamps get the same without std, as seconds since
+    1970-01-01. Quartiles are exact, NaN is missing, and a number column without values has no
+    row. The columns are stored once and read from there; a handful of numbers for each column
+    comes to the driver.
+    """
+    types = dict(df.dtypes)
+    text = [c for c in df.columns if types[c] == "string"]
+    times = [c for c in df.columns if types[c] in ("timestamp", "timestamp_ntz", "date")]
+    numbers = [c for c in df.columns if c not in text and c not in times]
+    stored = stage(df.select(
+        *text, *[F.unix_timestamp(F.col(c).cast("timestamp")).alias(c) for c in times],
+        *[as_double(c).alias(c) for c in numbers]), "profile")
     order = ["column_name", "count", "unique", "top", "freq",
              "mean", "std", "min", "p25", "p50", "p75", "max"]
-    return text_out.unionByName(numbers_out, allowMissingColumns=True).select(*order)
+    return _texts(stored, text).unionByName(
+        _numbers(stored, times, numbers), allowMissingColumns=True).select(*order)

@@ -1,198 +1,118 @@
 """Exact quantiles of many columns without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one task and a global sort moves
-every row. Here a bounded sketch first brackets each wanted rank; one scan then counts
-the values inside the brackets and the rows between them; the order statistics are read
-off those counts and interpolated linearly. A rank outside its bracket is an error, never
-a guess.
-
-Like ``DataFrame.approxQuantile`` this runs at once and returns plain lists. What comes
-to the driver is a few numbers per column and probability, whatever the row count. The
-frame is scanned three times, once just for counts and ranges: stage it first if it is
-costly or not repeatable.
+``percentile`` keeps every distinct value of a group in one task and a global sort moves every
+row. Here the range that holds a wanted rank is cut into slots of equal width, the values are
+counted by slot, and the slot with the rank is the next range, until it holds one value. The
+ends of a range are values of the column and have slots of their own, so each step shrinks it.
+A rank and the next one are followed apart from each other, wherever they lie.
+
+Like ``DataFrame.approxQuantile`` this runs at once and returns plain lists. What comes to the
+driver is a row for each rank and step. Every step scans the frame, the first one counts all of
+its values and the later ones those in the ranges left: stage a frame that is costly.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
-from cargolens.session import stage
+from cargolens.functions.numbers import nan_to_null
 
-ACCURACY = 10_000          # the sketch's rank error is at most rows / ACCURACY
-MARGIN = 10 / ACCURACY     # a bracket reaches ten times that error to either side
-WHOLE_BELOW = 100_000      # up to this many rows or values the bracket is the whole range
-SLOTS = 4096               # equal-width slots that narrow a crowded bracket further
-CROWDED = 1_000_000        # distinct values a span may hold before it is narrowed
+SLOTS = 4096
 
 
-def _merge(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """Union of closed intervals, sorted and disjoint."""
-    merged: list[tuple[float, float]] = []
-    for lo, hi in sorted(intervals):
-        if merged and lo <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
-        else:
-            merged.append((lo, hi))
-    return merged
+def as_double(c: str) -> Column:
+    """A column as DOUBLE, NaN being missing."""
+    return nan_to_null(F.col(c).cast("double"))
 
 
 def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (i, v): position and DOUBLE value of every non-null cell."""
+    """Rows (i, v): position and DOUBLE value of every cell that isn't missing."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "i INT, v DOUBLE")
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
+        F.struct(F.lit(i).alias("i"), as_double(c).alias("v"))
         for i, c in enumerate(columns)])).alias("t")).select("t.*").where("v is not null")
 
 
-def _bracket_counts(long: DataFrame, brackets: list[list[tuple[float, float]]]) -> DataFrame:
-    """Rows (i, j, x, cnt): values x inside bracket j of column i, x NULL for those below it
-    and above bracket j - 1. Brackets are looked up in literal arrays, so the generated code
-    does not grow with the number of columns."""
-    width = max(map(len, brackets))
-
-    def lookup(side: int) -> list[Column]:
-        """j -> literal array over i, padded by infinity."""
-        return [F.array(*[F.lit(b[j][side] if j < len(b) else math.inf) for b in brackets])
-                for j in range(width)]
-
-    v, i = F.col("v"), F.col("i")
-    lows, highs = lookup(0), lookup(1)
-    j = sum(((v > h[i]).cast("int") for h in highs), F.lit(0))
-    low = F.coalesce(*[F.when(v <= h[i], lo[i]) for lo, h in zip(lows, highs)],
-                     F.lit(math.inf))
-    return (long.select("i", j.alias("j"), F.when(v >= low, v).alias("x"))
-            .groupBy("i", "j", "x").agg(F.count("*").alias("cnt")))
-
-
-def _entries_at(counts: DataFrame, ranks: dict[int, int]) -> dict[int, list[Row]]:
-    """Of the ordered entries of each target, those that hold its rank and the next one.
-
-    ``counts`` has rows (k, x, cnt); the window sees one bracket or slot per task.
+@dataclass
+class _Rank:
+    """The value that ``at`` others of column ``i`` precede: known to lie in [lo, hi], where
+    ``at`` counts from lo."""
+
+    i: int
+    at: int
+    lo: float
+    hi: float
+
+
+def _slot(v: Column, lo: Column, hi: Column) -> Column:
+    share = 1 + F.floor((v - lo) / (hi - lo) * (SLOTS - 2))
+    inner = F.least(F.greatest(F.coalesce(share, F.lit(1)), F.lit(1)), F.lit(SLOTS - 2))
+    return F.when(v <= lo, 0).when(v >= hi, SLOTS - 1).otherwise(inner)
+
+
+def _step(df: DataFrame, columns: Sequence[str], ranks: list[_Rank]) -> None:
+    """Narrow each rank to its slot; one job for all."""
+    spans: dict[tuple[int, float, float], list[_Rank]] = {}
+    for r in ranks:
+        spans.setdefault((r.i, r.lo, r.hi), []).append(r)
+    entries = F.explode(F.array(*[
+        F.when(as_double(columns[i]).between(lo, hi),
+               F.struct(F.lit(k).alias("k"), as_double(columns[i]).alias("v")))
+        for k, (i, lo, hi) in enumerate(spans)])).alias("e")
+    lows, highs = (F.array(*[F.lit(s[side]) for s in spans])[F.col("k")] for side in (1, 2))
+    counts = (df.select(entries).where("e is not null").select("e.*")
+              .groupBy("k", _slot(F.col("v"), lows, highs).alias("slot"))
+              .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy("slot")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wanted = F.array(*[F.array(*[F.lit(r.at).cast("long") for r in rs]) for rs in spans.values()])
+    before = F.col("upto") - F.col("n")
+    rows = (counts.withColumn("upto", upto)   # at most SLOTS rows of a span
+            .where(F.exists(wanted[F.col("k")], lambda at: (at >= before) & (at < F.col("upto"))))
+            .collect())
+    for k, same in enumerate(spans.values()):
+        for r in same:
+            row = next(x for x in rows if x["k"] == k and x["upto"] - x["n"] <= r.at < x["upto"])
+            r.at, r.lo, r.hi = r.at - (row["upto"] - row["n"]), row["lo"], row["hi"]
+
+
+def ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """Count, least and greatest value of each column."""
+    return df.agg(*[F.struct(
+        F.count(as_double(c)).alias("n"), F.min(as_double(c)).alias("lo"),
+        F.max(as_double(c)).alias("hi")).alias(c) for c in columns]).first().asDict()
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+                    spread: Mapping[str, Row] | None = None) -> dict[str, list[float] | None]:
+    """Quantiles per column, interpolated linearly; None for a column without values.
+
+    Nulls and NaN are ignored. ``spread`` is what ``ranges`` gives, where it is known already.
     """
-    order = Window.partitionBy("k").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.create_map(*[F.lit(v) for item in ranks.items() for v in item])[F.col("k")]
-    rows = (counts.withColumn("upto", F.sum("cnt").over(order))
-            .where((F.col("upto") > rank) & (F.col("upto") - F.col("cnt") <= rank + 1))
-            .select("k", "x", "upto", "cnt").orderBy("k", "x").collect())
-    found: dict[int, list[Row]] = {}
-    for row in rows:
-        found.setdefault(row["k"], []).append(row)
-    return found
-
-
-class _Target:
-    """A wanted quantile: position of its column, probability, rank."""
-
-    def __init__(self, i: int, p: float, n: int):
-        self.i, self.p, self.n = i, p, n
-        position = p * (n - 1)
-        self.rank = math.floor(position)
-        self.fraction = position - self.rank
-        self.j = self.below = 0
-        self.span: tuple[float, float] | None = None
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        """Rank and next rank, counted inside the bracket or slot."""
-        return self.rank - self.below, min(self.rank + 1, self.n - 1) - self.below
-
-    def check(self, rows: list[Row]) -> list[Row]:
-        if not rows or self.ranks[0] < 0 or rows[-1]["upto"] <= self.ranks[1]:
-            raise ArithmeticError("a rank fell outside its bracket")
-        return rows
-
-
-def _values_of(counts: DataFrame, targets: dict[int, _Target]) -> DataFrame:
-    """Entries (k, x, cnt) of each target's bracket, cut to its span if it has one."""
-    where = F.array(*[F.struct(
-        F.lit(k).alias("k"), F.lit(t.i).alias("i"), F.lit(t.j).alias("j"),
-        F.lit(t.span[0] if t.span else -math.inf).alias("lo"),
-        F.lit(t.span[1] if t.span else math.inf).alias("hi")) for k, t in targets.items()])
-    mine = F.filter(where, lambda t: (t["i"] == F.col("i")) & (t["j"] == F.col("j"))
-                    & (F.col("x") >= t["lo"]) & (F.col("x") <= t["hi"]))
-    return (counts.where("x is not null").select("x", "cnt", F.explode(mine).alias("t"))
-            .select("t.k", "x", "cnt"))
-
-
-def _narrow(counts: DataFrame, targets: dict[int, _Target],
-            brackets: list[list[tuple[float, float]]]) -> dict[int, int]:
-    """Cut each target's span to the slots that hold its ranks; returns the values left."""
-    spans = F.create_map(*[v for k, t in targets.items() for v in (
-        F.lit(k), F.array(*[F.lit(float(e)) for e in t.span or brackets[t.i][t.j]]))])
-    lo, hi = spans[F.col("k")][0], spans[F.col("k")][1]
-    share = F.when(hi > lo, (F.col("x") - lo) / (hi - lo)).otherwise(0.0)
-    slot = F.least(F.floor(share * SLOTS), F.lit(SLOTS - 1))
-    slots = (_values_of(counts, targets).groupBy("k", slot.alias("slot"))
-             .agg(F.sum("cnt").alias("cnt"), F.min("x").alias("lo"), F.max("x").alias("hi"),
-                  F.count("*").alias("values"))
-             .select("k", F.struct("slot", "lo", "hi", "values").alias("x"), "cnt"))
-    found = _entries_at(slots, {k: t.ranks[0] for k, t in targets.items()})
-    left = {}
-    for k, t in targets.items():
-        rows = t.check(found.get(k, []))
-        t.span = (rows[0]["x"]["lo"], rows[-1]["x"]["hi"])
-        t.below += rows[0]["upto"] - rows[0]["cnt"]
-        left[k] = sum(r["x"]["values"] for r in rows)
-    return left
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    probabilities: Sequence[float]) -> dict[str, list[float] | None]:
-    """Quantiles per column, None for a column without values. Nulls are ignored."""
-    inner = sorted({p for p in probabilities if 0 < p < 1})
-    spread = df.agg(*[F.struct(
-        F.count(c).alias("n"), F.min(c).cast("double").alias("lo"),
-        F.max(c).cast("double").alias("hi")).alias(c) for c in columns]).first()
-    whole_numbers = {c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
-
-    def bounded(c: str) -> bool:
-        """Few rows or few possible values: the whole range serves as the bracket."""
-        s = spread[c]
-        return s["n"] <= WHOLE_BELOW or (c in whole_numbers and s["hi"] - s["lo"] < WHOLE_BELOW)
-
-    sketched = [c for c in columns if inner and not bounded(c)]
-    edges = [e for p in inner for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), edges, ACCURACY).alias(c)
-                      for c in sketched]).first() if sketched else {}
-
-    brackets, targets = [], {}
+    if not columns:
+        return {}
+    spread = spread or ranges(df, columns)
+    ranks: dict[tuple[int, int], _Rank] = {}
     for i, c in enumerate(columns):
-        s = spread[c]
-        ends = [(s["lo"], s["hi"])] * len(inner)
-        if c in sketched:
-            ends = list(zip(sketch[c][::2], sketch[c][1::2]))
-        brackets.append(_merge(ends) if s["n"] else [])
-        for p, (lo, _) in zip(inner, ends if s["n"] else []):
-            t = targets[len(targets)] = _Target(i, p, s["n"])
-            t.j = next(j for j, b in enumerate(brackets[i]) if lo <= b[1])
-
-    results = {}
-    if targets:
-        counts = stage(_bracket_counts(unpivot(df, columns), brackets), "quantiles")
-        inside = F.col("x").isNotNull()
-        sizes = {(r["i"], r["j"]): r for r in counts.groupBy("i", "j").agg(
-            F.sum("cnt").alias("rows"),
-            F.sum(F.when(~inside, F.col("cnt")).otherwise(0)).alias("gap"),
-            F.count("x").alias("values")).collect()}
-        for t in targets.values():
-            t.below = sum(r["rows"] for (i, j), r in sizes.items() if i == t.i and j < t.j)
-            t.below += sizes[t.i, t.j]["gap"] if (t.i, t.j) in sizes else 0
-        left = {k: sizes[t.i, t.j]["values"] for k, t in targets.items() if (t.i, t.j) in sizes}
-        while crowded := {k: targets[k] for k, size in left.items() if size > CROWDED}:
-            before = left
-            left = _narrow(counts, crowded, brackets)
-            left = {k: size for k, size in left.items() if size < before[k]}
-        found = _entries_at(_values_of(counts, targets),
-                            {k: t.ranks[0] for k, t in targets.items()})
-        for k, t in targets.items():
-            rows = t.check(found.get(k, []))
-            v0 = rows[0]["x"]
-            v1 = next(r["x"] for r in rows if r["upto"] > t.ranks[1])
-            results[columns[t.i], t.p] = v0 + (v1 - v0) * t.fraction
-
-    for c in columns:
-        results[c, 0], results[c, 1] = spread[c]["lo"], spread[c]["hi"]
-    return {c: [results[c, p] for p in probabilities] if spread[c]["n"] else None
-            for c in columns}
+        for p in probabilities if spread[c]["n"] else []:
+            last = spread[c]["n"] - 1
+            for at in (math.floor(p * last), min(math.floor(p * last) + 1, last)):
+                lo, hi = spread[c]["lo"], spread[c]["hi"]
+                lo, hi = (lo, lo) if at == 0 else (hi, hi) if at == last else (lo, hi)
+                ranks[i, at] = _Rank(i, at, lo, hi)
+    while left := [r for r in ranks.values() if r.lo < r.hi]:
+        _step(df, columns, left)
+
+    def value(i: int, c: str, p: float) -> float:
+        position = p * (spread[c]["n"] - 1)
+        at = math.floor(position)
+        v0, v1 = ranks[i, at].lo, ranks[i, min(at + 1, spread[c]["n"] - 1)].lo
+        return v0 if v0 == v1 else v0 + (v1 - v0) * (position - at)
+
+    return {c: [value(i, c, p) for p in probabilities] if spread[c]["n"] else None
+            for i, c in enumerate(columns)}

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -26,16 +27,11 @@ def skewed_columns(n):
         "id": np.arange(n)[::-1] * 3, "few": np.arange(n) % 17})
 
 
-@pytest.mark.parametrize("n, whole_below, crowded", [
-    (1, 100_000, 1_000_000), (7, 100_000, 1_000_000), (500, 100_000, 1_000_000),
-    (30_000, 1_000, 1_000_000), (30_000, 1_000, 5), (500, 100_000, 5)])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, n, whole_below, crowded):
-    monkeypatch.setattr(quantiles, "WHOLE_BELOW", whole_below)
-    monkeypatch.setattr(quantiles, "CROWDED", crowded)
+@pytest.mark.parametrize("n, slots", [(1, 4096), (7, 4096), (500, 4096), (30_000, 4096), (60, 3)])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, n, slots):
+    monkeypatch.setattr(quantiles, "SLOTS", slots)
     data = skewed_columns(n)
-    df = spark.createDataFrame(data).repartition(5)
-    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c, t in df.dtypes if t == "double"],
-                   "id", "few")
+    df = spark.createDataFrame(data).repartition(5)   # missing values are NaN here
     got = quantiles.exact_quantiles(df, list(data.columns), PROBABILITIES)
     for c in data.columns:
         values = data[c].dropna()
@@ -45,10 +41,14 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, n, whole_below, crowded
             assert np.allclose(got[c], np.quantile(values, PROBABILITIES), rtol=1e-12, atol=0), c
 
 
-def test_quantile_outside_its_bracket_is_an_error():
-    target = quantiles._Target(0, 0.5, 100)
-    with pytest.raises(ArithmeticError):
-        target.check([])
+def test_median_between_two_far_clusters_and_among_infinities(spark):
+    far = [float(k) * 1e-9 for k in range(1000)] + [1e12 + k for k in range(1000)]
+    edge = [-math.inf] * 3 + [1.0, 2.0, 4.0, 5.0] + [math.inf] * 3
+    huge = [-1.7e308, 1.0, 2.0, 1.7e308]
+    for values in (far, edge, huge):
+        df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(3)
+        (median,) = quantiles.exact_quantiles(df, ["x"], [0.5])["x"]
+        assert median == np.median(values)
 
 
 def rfm_star(spark, rows):
@@ -148,3 +148,20 @@ def test_describe_matches_pandas(spark):
                              ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
             assert abs(got[c][mine] - float(want.loc[theirs, c])) < 1e-12, (c, mine)
     assert got["ts"]["p50"] == want.loc["50%", "ts"].timestamp() and got["ts"]["std"] is None
+
+
+def test_describe_of_plain_and_empty_frames(spark):
+    text = spark.createDataFrame([("a",), (None,)], "t STRING")
+    assert [(r["column_name"], r["count"]) for r in distribution.describe(text).collect()] == [("t", 1)]
+    numbers = spark.createDataFrame([(1.0, None), (float("nan"), None)], "x DOUBLE, y DOUBLE")
+    (row,) = distribution.describe(numbers).collect()
+    assert (row["column_name"], row["count"], row["p50"], row["std"]) == ("x", 1, 1.0, None)
+    both = spark.createDataFrame([], "t STRING, x DOUBLE, ts TIMESTAMP_NTZ")
+    assert distribution.describe(both).count() == 0
+
+
+def test_nan_is_missing_in_histogram_and_correlation(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (float("nan"), 1.0), (3.0, 6.5)], "x DOUBLE, y DOUBLE")
+    assert sum(r["n"] for r in distribution.histogram(df, "x", 2).collect()) == 3
+    (row,) = distribution.correlation_matrix(df, ["x", "y"], digits=6).collect()
+    assert abs(row["r"] - np.corrcoef([1, 2, 3], [2, 4, 6.5])[0, 1]) < 1e-6
