@@ -7,7 +7,8 @@ Pairs that may reach the threshold are confirmed on the full shingle sets.
 
 Buckets are not expanded into pairs. Each bucket is compared with its hub, the member that
 shares most buckets with others, and linked members need no further test among themselves. What
-lies outside the hub's component is then compared, in blocks, with the rest of its bucket.
+lies outside the hub's component then meets the rest around that hub through an index of the
+shingles in which each text differs from the hub.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -41,7 +41,6 @@ class Plan:
     bits: int = 2
     slack: float = 0.17
     seed: int = 20_011
-    block: int = 256        # documents to a side in a comparison of blocks
 
     @property
     def minima(self) -> int:
@@ -55,11 +54,6 @@ class Plan:
     def cut(self) -> float:
         return self.percent / 100 - self.slack
 
-    @property
-    def most_unequal(self) -> int:
-        """Unequal low bits that a pair may have: a share (1 - 2^-b)(1 - R) is expected."""
-        return int(self.minima * (1 - 2.0 ** -self.bits) * (1 - self.cut))
-
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
@@ -207,69 +201,72 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame) -> DataFrame:
-    """Each bucket's members against its hub, as distinct pairs."""
+    """Distinct (hub, node): each bucket's members and its hub, the one in most company."""
     weight = rows.groupBy("node").agg(F.sum("held").alias("weight"))
     hubs = (rows.join(weight, "node").groupBy("bucket")
             .agg(F.max(F.struct("weight", "node")).alias("hub"))
             .select("bucket", F.col("hub.node").alias("hub")))
-    return rows.join(stage(hubs, "minhash-hubs"), "bucket")
+    pairs = rows.join(stage(hubs, "minhash-hubs"), "bucket").where("node <> hub")
+    return stage(pairs.select("hub", "node").distinct(), "minhash-hub-pairs")
 
 
-def _remaining(rows: DataFrame, labels: DataFrame, signatures: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of a bucket that lie in different components and weren't held against the hub,
-    where the estimate lets them reach the threshold.
+def _remaining(hub_pairs: DataFrame, labels: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs around one hub that lie in different components and may reach the threshold.
 
-    Of buckets with the same members one is compared. Members outside the hub's component meet
-    all members, in blocks of ``plan.block`` by ``plan.block``: the rows made are members times
-    blocks of outsiders, not pairs, and a block's signatures are a few kilobytes.
+    Let D(X) be the shingles in which X and the hub differ. Two texts differ in D(A) and D(B) less
+    what these share, twice; so a link between A and B asks for at least
+    ((D(A) - c A) + (D(B) - c B)) / 2 shared members, in sizes and with c = (1 - s) / (1 + s). One
+    of the two isn't linked with the hub, which makes this positive. So it is enough to compare
+    D(A) and D(B) on their first members in one order, as many as the least overlap leaves open
+    (prefix filter), and a pair that meets late in them is ruled out by what is left (positional
+    filter). Members that the hub lacks come first: edits rarely add the same shingle. Copies of a
+    text with different edits thus hardly ever meet, however many there are.
     """
-    own = F.coalesce("component", "node")
-    rows = stage(rows.join(labels, "node", "left").select("bucket", "hub", "node", own.alias("own")),
-                 "minhash-members")
-    hub_own = rows.where("node = hub").select("bucket", F.col("own").alias("hub_own"))
-    rows = rows.join(hub_own, "bucket").withColumn("outside", F.col("own") != F.col("hub_own"))
-    totals = rows.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.count_if("outside").alias("r"),
-        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    chosen = (totals.where("r > 0 AND n > 2").groupBy("n", "r", "x", "y")
-              .agg(F.min("bucket").alias("bucket"))
-              .select("bucket", F.ceil(F.col("n") / plan.block).alias("across"),
-                      F.ceil(F.col("r") / plan.block).alias("down")))
-    rows = rows.join(stage(chosen, "minhash-open"), "bucket").join(signatures, "node")
-
-    def grid(column: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(column).cast("int") - 1))
-
-    def block(column: str, salt: int) -> Column:
-        return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(column)).cast("int")
-
-    columns = ["bucket", "i", "j", "outsider", "hub", "node", "own", "signature"]
-    members = (rows.withColumn("i", grid("down")).withColumn("j", block("across", 1))
-               .withColumn("outsider", F.lit(False)))
-    outsiders = (rows.where("outside").withColumn("i", block("down", 2))
-                 .withColumn("j", grid("across")).withColumn("outsider", F.lit(True)))
-    ones = np.uint64(sum(1 << k for k in range(0, 64, plan.bits)))
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        outer, inner = block[block["outsider"]], block[~block["outsider"]]
-        found: list[tuple[bytes, bytes]] = []
-        if len(outer) and len(inner):
-            signatures = np.array(inner["signature"].tolist(), np.int64).view(np.uint64)
-            inner_node, inner_own = inner["node"].to_numpy(), inner["own"].to_numpy()
-            hub = inner["hub"].iloc[0]
-            for node, own, signature in zip(outer["node"], outer["own"], outer["signature"]):
-                x = signatures ^ np.array(signature, np.int64).view(np.uint64)
-                folded = x
-                for shift in range(1, plan.bits):
-                    folded = folded | (x >> np.uint64(shift))
-                unequal = np.bitwise_count(folded & ones).sum(axis=1)
-                for k in np.flatnonzero(unequal <= plan.most_unequal):
-                    if inner_own[k] != own and inner_node[k] != hub and node != hub:
-                        found.append((min(node, inner_node[k]), max(node, inner_node[k])))
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return (members.select(columns).union(outsiders.select(columns))
-            .groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary").distinct())
+    def label(column: str) -> DataFrame:
+        return labels.select(F.col("node").alias(column), F.col("component").alias(f"own_{column}"))
+
+    pairs = (hub_pairs.join(label("node"), "node", "left").join(label("hub"), "hub", "left")
+             .select("hub", "node", F.coalesce("own_node", "node").alias("own"),
+                     F.coalesce("own_hub", "hub").alias("own_hub"))
+             .withColumn("outside", F.col("own") != F.col("own_hub")))
+    pairs = stage(pairs, "minhash-around")
+    open_hubs = (pairs.groupBy("hub").agg(F.count_if("outside").alias("r"), F.count("*").alias("n"))
+                 .where("r > 0 AND n > 1").select("hub"))
+    up, down = 100 + plan.percent, 100 - plan.percent
+    around = (pairs.join(open_hubs, "hub").join(sets.withColumnRenamed("shingles", "s"), "node")
+              .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h")), "hub")
+              .select("hub", "node", "own", "outside", F.size("s").alias("n"),
+                      F.concat(F.array_sort(F.array_except("s", "h")),
+                               F.array_sort(F.array_except("h", "s"))).alias("differs"))
+              .withColumn("excess", up * F.size("differs") - down * F.col("n")))
+    around = stage(around, "minhash-around")
+    least = around.groupBy("hub").agg(F.min("excess").alias("least"), F.min(
+        F.when(F.col("outside"), F.col("excess"))).alias("least_outside"))
+    shared = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.when(F.col("outside"), F.col("least"))
+                                          .otherwise(F.col("least_outside"))) / (2 * up)))
+    first = F.greatest(F.lit(0), F.size("differs") - shared.cast("int") + 1)
+    entries = (around.join(least, "hub")
+               .select("hub", "node", "own", "outside", "excess", F.size("differs").alias("size"),
+                       F.posexplode(F.slice("differs", F.lit(1), first)).alias("at", "shingle")))
+    entries = stage(entries, "minhash-prefixes")
+    other = entries.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in (
+        "node", "own", "outside", "excess", "size", "at")])
+    # What two can still share from their first shared shingle on must reach the pair's own least
+    # overlap. Of two outsiders the smaller one asks.
+    left = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b"))
+    enough = 2 * up * left >= F.col("excess") + F.col("excess_b")
+    return (entries.where("outside").join(other, ["hub", "shingle"])
+            .where(enough & F.expr("own <> own_b AND (NOT outside_b OR node < node_b)"))
+            .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+            .distinct())
+
+
+def _possible(pairs: DataFrame, signatures: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs (a, b) whose estimate doesn't rule out the threshold."""
+    unequal = unequal_low_bits(F.col("x"), F.col("y"), plan)
+    return (pairs.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
+            .join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
+            .where(estimated_similarity(unequal, plan) >= plan.cut).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -296,16 +293,13 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     wanted = classes.join(rows.select("node").distinct(), "node").select("node", "doc_id")
     sets = _sets(docs, wanted, plan)
 
-    hubbed = stage(_hub_pairs(rows).select("bucket", "hub", "node"), "minhash-hubbed")
-    pairs = hubbed.where("node <> hub").select(
-        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    unequal = unequal_low_bits(F.col("x"), F.col("y"), plan)
-    close = (pairs.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
-             .join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
-             .where(estimated_similarity(unequal, plan) >= plan.cut).select("a", "b"))
-    links = _confirmed(close, sets, plan)
+    hub_pairs = _hub_pairs(rows)
+    pairs = hub_pairs.select(F.least("hub", "node").alias("a"),
+                             F.greatest("hub", "node").alias("b")).distinct()
+    links = _confirmed(_possible(pairs, signatures, plan), sets, plan)
     labels = stage(components(links), "minhash-labels")
-    more = _confirmed(_remaining(hubbed, labels, signatures, plan), sets, plan)
+    pairs = _remaining(hub_pairs, labels, sets, plan)
+    more = _confirmed(_possible(pairs, signatures, plan), sets, plan)
     labels = stage(components(links.union(more)), "minhash-labels")
 
     labelled = stage(classes.select("node", "doc_id").join(labels, "node", "left").select(

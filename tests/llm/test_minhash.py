@@ -52,9 +52,12 @@ def test_components_equal_brute_force(spark, size):
     for k in range(25):
         chain = chain[2:] + [f"n{k}", f"m{k}"]
         texts.append(" ".join(chain))
+    for _ in range(3):                              # copies just below the threshold of their origin
+        base = [f"o{rng.randrange(400)}" for _ in range(150)]
+        texts += [" ".join(changed(base, .055 if size == 2 else .022, rng)) for _ in range(60)]
     texts += [" ".join(f"u{rng.randrange(900)}" for _ in range(40)) for _ in range(60)]
     texts.append(" ".join(f"l{k % 4001}" for k in range(60_000)))
-    plan = Plan(shingle=size, block=7)
+    plan = Plan(shingle=size)
     got = near_duplicates(corpus(spark, texts).repartition(4), plan).collect()
     assert sorted(tuple(r) for r in got) == expected(texts, plan)
 
