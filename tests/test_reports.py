@@ -159,6 +159,27 @@ def test_rolling_window_is_open_at_its_start(star):
     assert months[dt.date(2017, 6, 1)]["rolling_sales"] == 100.0
 
 
+def test_gap_periods_are_kept_at_every_grain(spark):
+    rows = [(i, i, dt.datetime(*day), sales, 1.0) for i, (day, sales) in enumerate([
+        ((2017, 1, 5), 10.0), ((2017, 2, 5), 20.0), ((2018, 1, 5), 30.0), ((2018, 3, 5), 40.0)])]
+    gaps = Star.of_tables(spark.createDataFrame(
+        rows, "order_id BIGINT, customer_id BIGINT, order_date_dateorders TIMESTAMP_NTZ, sales DOUBLE, "
+              "order_profit_per_order DOUBLE"), {})
+    months = by_key(periods.growth(gaps), "month")
+    assert len(months) == 15
+    february = months[dt.date(2018, 2, 1)]
+    assert (february["sales"], february["ly_sales"], february["yoy_sales_growth"]) == (None, 20.0, -1.0)
+    rolling = by_key(periods.rolling_months(gaps), "month")
+    assert rolling[dt.date(2017, 4, 1)]["rolling_sales"] == 20.0
+    assert rolling[dt.date(2017, 6, 1)]["rolling_sales"] is None
+    days = by_key(periods.rolling_days(gaps), "day")
+    assert len(days) == 425 and days[dt.date(2017, 9, 1)]["rolling_sales"] is None
+    years = by_key(periods.growth(gaps, grain="year"), "year")
+    assert years[dt.date(2018, 1, 1)]["yoy_sales_growth"] == (70 - 30) / 30
+    quarters = by_key(periods.last_year(gaps, grain="quarter", measure="profit"), "quarter")
+    assert quarters[dt.date(2018, 1, 1)]["ly_profit"] == 2.0
+
+
 def test_periods_by_group(star):
     rows = periods.to_date(star, "year", ["market"]).where("day = '2017-06-15'").collect()
     assert {r["market"]: r["ytd_sales"] for r in rows} == {
