@@ -48,3 +48,14 @@ def to_timestamp(c: Column, formats: list[str]) -> Column:
     """First format that reads the text; NULL when none does."""
     parsed = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
     return F.coalesce(*parsed).cast("timestamp_ntz")
+
+
+def canonical_number(text: Column) -> Column:
+    """One spelling for equal numbers: whole ones without sign, zeros or point in excess, others as
+    DOUBLE prints them. What isn't a number stays as it is."""
+    plain = F.trim(text)
+    whole = F.regexp_replace(F.regexp_replace(plain, r"\.0*$", ""), r"^\+?(-?)0+(?=\d)|^\+", "$1")
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
+    return (F.when(plain.rlike(r"^[+-]?0+(\.0*)?$"), "0")
+            .when(plain.rlike(r"^[+-]?\d+(\.0*)?$"), whole)
+            .when(plain.rlike(number), plain.try_cast("double").cast("string")).otherwise(text))

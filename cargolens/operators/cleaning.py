@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cargolens.functions.text import standard_name, to_float, to_int, to_timestamp
-from cargolens.schemas import DROPPED_COLUMNS, RAW_DATE_COLUMNS
+from cargolens.functions.text import (canonical_number, standard_name, to_float, to_int,
+                                      to_timestamp)
+from cargolens.schemas import DROPPED_COLUMNS, RAW_DATE_COLUMNS, RAW_NUMERIC_FIELDS
 
 DATE_FORMATS = ["M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
 
@@ -28,8 +29,14 @@ def parse_timestamps(df: DataFrame, names: list[str] = RAW_DATE_COLUMNS,
     return df.withColumns({n: to_timestamp(quoted(n), formats) for n in present(df, names)})
 
 
+def canonical_numbers(df: DataFrame, names: list[str] = RAW_NUMERIC_FIELDS) -> DataFrame:
+    """Text of number fields in one spelling, so that equal numbers are equal texts."""
+    return df.withColumns({n: canonical_number(quoted(n)) for n in present(df, names)})
+
+
 def dedupe_rows(df: DataFrame, row_seq: str | None = None) -> DataFrame:
-    """Keep one copy of equal rows, nulls being equal.
+    """Keep one copy of equal rows, nulls being equal. Texts are compared as they are: see
+    ``canonical_numbers``.
 
     With ``row_seq`` the copy keeps its lowest row number, i.e. the first one stays.
     """

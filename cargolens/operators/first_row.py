@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def first_row_per_key(df: DataFrame, key: str, columns: list[str],
-                      order: list[str]) -> DataFrame:
+                      order: list[str], total: bool = False) -> DataFrame:
     """The row of each key that comes first in ``order``.
 
     An aggregate, not a window: every map task reduces its rows to one per key before
     the shuffle, so a hot key costs one row per task. Columns not in ``order`` break
-    ties, so the result does not depend on task timing.
+    ties, so the result does not depend on task timing; a ``total`` order has none and is
+    carried alone.
     """
     rest = [c for c in columns if c != key]
-    rank = F.struct(*order, *[c for c in rest if c not in order])
+    rank = F.struct(*order, *[c for c in rest if c not in order and not total])
     first = df.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
     return first.select(key, *[F.col("_row")[c].alias(c) for c in rest])

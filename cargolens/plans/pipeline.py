@@ -23,7 +23,7 @@ def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str]) -> DataFram
     """
     slim = cleaning.drop_columns(raw, DROPPED_COLUMNS)
     dated = cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats)
-    return stage(cleaning.dedupe_rows(dated, row_seq), "orders_unique")
+    return stage(cleaning.dedupe_rows(cleaning.canonical_numbers(dated), row_seq), "orders_unique")
 
 
 def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
@@ -143,13 +143,16 @@ def run(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target:
     """Raw CSV files to published star tables; returns the path of each table.
 
     The cleaned lines are stored, so that the tables split off them do not each repeat the
-    cleaning. ``web_limit`` cuts the web log to its leading rows by time.
+    cleaning. ``web_limit`` cuts the web log to its leading rows by time. The dictionary is
+    optional.
     """
+    described = readers.read_dictionary(spark, dictionary)
     raw = readers.with_row_seq(readers.read_orders(spark, orders))
     clean = stage(clean_orders(raw, formats=formats, money_type=money_type), "orders_clean")
     hits = clean_weblogs(readers.read_weblogs(spark, weblogs), formats)
     if web_limit is not None:
         hits = writers.first_rows(hits, ["date", "product", "ip", "url"], web_limit)
     tables = build_star(clean, hits)
-    tables["data_dictionary"] = data_dictionary(readers.read_dictionary(spark, dictionary))
+    if described is not None:
+        tables["data_dictionary"] = data_dictionary(described)
     return writers.publish_star(tables, target)

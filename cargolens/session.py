@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,7 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
     Only a local session may fall back to a temporary folder, because there every
-    task runs on this machine.
+    task runs on this machine. A ``file:`` folder on a cluster has to be mounted on every machine;
+    whether it is can't be seen from here, so that gives a warning.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -48,18 +50,31 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="cargolens-")
         spark.conf.set("spark.checkpoint.dir", base)
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        warnings.warn(f"{base} must be a folder that every machine of the cluster mounts")
     return f"{base.rstrip('/')}/cargolens-{spark.sparkContext.applicationId}"
 
 
+def own_dir(spark: SparkSession, name: str) -> str:
+    """A folder of the application that no other call writes to."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove everything this application has stored; frames read from it can't be used after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the stored copy.
 
     Used where a plan reads the same rows in several branches and row numbers
     must not change between them, and so that a lost executor recomputes from
     the stored rows instead of the whole upstream plan. Every call gets a folder of its
-    own below the application's folder, which can go when the application has ended.
+    own below the application's folder; ``clear_stages`` removes that when all is done.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex[:12]}"
+    path = own_dir(spark, f"stage/{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cargolens.schemas import NA_TOKENS, RAW_ORDER_FIELDS, RAW_WEBLOG_FIELDS
+from cargolens.schemas import NA_TOKENS, RAW_WEBLOG_FIELDS
 
 
 def text_schema(fields: list[str]) -> T.StructType:
@@ -17,37 +17,50 @@ def missing_as_null(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
                       for c in df.columns])
 
 
-def read_text_csv(spark: SparkSession, path: str, fields: list[str], encoding: str) -> DataFrame:
-    """CSV with a header, every column as text; lines are split across tasks."""
-    raw = (spark.read.schema(text_schema(fields))
-           .option("header", True).option("encoding", encoding)
-           .option("quote", '"').option("escape", '"')
-           .option("enforceSchema", False)
-           .csv(path))
-    return missing_as_null(raw)
+def read_text_csv(spark: SparkSession, path: str, encoding: str, multi_line: bool = False,
+                  corrupt: str | None = None) -> DataFrame:
+    """CSV by its header, every column as text.
 
+    Lines are split across tasks; ``multi_line`` lets quoted fields hold line breaks, at the price
+    of one task for each file. ``corrupt`` names a column that gets the text of rows whose fields
+    don't match the header, NULL for sound ones.
+    """
+    def reader():
+        return (spark.read.option("header", True).option("encoding", encoding)
+                .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
 
-def read_orders(spark: SparkSession, path: str, fields: list[str] = RAW_ORDER_FIELDS) -> DataFrame:
-    """Raw orders; latin-1 decodes any byte. A missing file is an error."""
-    return read_text_csv(spark, path, fields, "ISO-8859-1")
+    fields = reader().csv(path).columns
+    schema = text_schema([*fields, *([corrupt] if corrupt else [])])
+    options = {"columnNameOfCorruptRecord": corrupt} if corrupt else {"enforceSchema": False}
+    return missing_as_null(reader().schema(schema).options(**options).csv(path))
 
 
-def read_weblogs(spark: SparkSession, path: str,
-                 fields: list[str] = RAW_WEBLOG_FIELDS) -> DataFrame:
-    """Raw web log. The source is optional: no file gives an empty table."""
+def read_orders(spark: SparkSession, path: str, multi_line: bool = False,
+                corrupt: str | None = None) -> DataFrame:
+    """Raw orders; latin-1 decodes any byte. A missing file is an error, columns are as found."""
+    return read_text_csv(spark, path, "ISO-8859-1", multi_line, corrupt)
+
+
+def _if_there(read, otherwise):
     try:
-        return read_text_csv(spark, path, fields, "UTF-8")
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], text_schema(fields))
+        return otherwise()
+
+
+def read_weblogs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Raw web log. The source is optional: no file gives an empty table."""
+    return _if_there(lambda: read_text_csv(spark, path, "UTF-8", multi_line),
+                     lambda: spark.createDataFrame([], text_schema(RAW_WEBLOG_FIELDS)))
 
 
-def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Field descriptions; the two columns are named by position."""
-    return (spark.read.schema("Field STRING, Description STRING")
-            .option("header", True).option("encoding", "UTF-8")
-            .option("quote", '"').option("escape", '"').csv(path))
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame | None:
+    """Field descriptions; the two columns are named by position. None without a file."""
+    return _if_there(lambda: (spark.read.schema("Field STRING, Description STRING")
+                              .option("header", True).option("encoding", "UTF-8")
+                              .option("quote", '"').option("escape", '"').csv(path)), lambda: None)
 
 
 def read_star(spark: SparkSession, base: str, tables: list[str]) -> dict[str, DataFrame]:

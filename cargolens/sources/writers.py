@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolens.functions.numbers import nan_to_null
+from cargolens.operators.row_numbers import number_rows
+from cargolens.session import stage
 
 PARTITIONS = {"fact_orders": ["order_year", "order_month"]}
 
@@ -44,44 +46,41 @@ def publish_star(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
     return paths
 
 
-SKETCH_ACCURACY = 10_000
-SKETCHABLE = ("timestamp", "timestamp_ntz", "date", "bigint", "int", "double")
-
-
 def first_rows(df: DataFrame, order: list[str], limit_rows: int) -> DataFrame:
     """Leading rows by an explicit order: the truncated sink, off by default.
 
-    The last step of a top-k takes up to ``limit_rows`` from every task. On a large table
-    rows past a safe upper bound of the cut are therefore filtered out first: the sketch is
-    asked for a share that exceeds the wanted one by twice its error. Nulls sort first.
+    The rows are stored and numbered by range, so no task sees more than its share of them,
+    whatever the limit, the table's size or the type of the order. Nulls sort first; rows equal
+    in all of ``order`` are cut at any of them.
     """
-    lead = order[0]
-    if dict(df.dtypes)[lead] in SKETCHABLE:
-        n = df.agg(F.count(lead)).first()[0]
-        if n > 10 * limit_rows:
-            share = min(1.0, limit_rows / n + 2 / SKETCH_ACCURACY)
-            bound = df.agg(F.percentile_approx(lead, share, SKETCH_ACCURACY)).scalar()
-            df = df.where(F.col(lead).isNull() | (F.col(lead) <= bound))
-    return df.orderBy(*order).limit(limit_rows)
+    numbered = number_rows(stage(df, "first-rows"), order, "__number")
+    return numbered.where(F.col("__number") < limit_rows).drop("__number")
 
 
-# Facts hold the foreign keys: dimensions are loaded first.
+# Facts hold the foreign keys: they are emptied before the dimensions and loaded after them.
 LOAD_ORDER = ["Dim_Date", "Dim_Customer", "Dim_Product", "Dim_Order", "Fact_Orders", "Fact_WebLogs"]
 
 
+def _to_database(df: DataFrame, name: str, jdbc: dict[str, str], mode: str = "overwrite") -> None:
+    (df.write.format("jdbc").options(**{"batchsize": "10000", "truncate": "true", **jdbc})
+     .option("dbtable", name).mode(mode).save())
+
+
 def publish_warehouse(tables: dict[str, DataFrame], base: str | None = None,
                       database: str | None = None, jdbc: dict[str, str] | None = None) -> None:
     """Full refresh of the warehouse tables, dimensions before facts.
 
     Goes to Parquet folders under ``base``, to catalog tables of ``database``, or,
     given ``jdbc`` options with at least ``url``, to a database. Columns are matched
-    by name.
+    by name. The database path has not been run against one.
     """
+    if jdbc:
+        for name in [t for t in reversed(LOAD_ORDER) if t in tables]:
+            _to_database(tables[name].limit(0), name, jdbc)
     for name in [t for t in LOAD_ORDER if t in tables]:
         df = nulls_for_nan(tables[name])
         if jdbc:
-            (df.write.format("jdbc").options(**{"batchsize": "10000", "truncate": "true", **jdbc})
-             .option("dbtable", name).mode("overwrite").save())
+            _to_database(df, name, jdbc, "append")
         elif database:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
         else:

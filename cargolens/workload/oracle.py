@@ -384,7 +384,7 @@ SQL: dict[str, str] = {
   {SALES}, CAST(sum(order_item_quantity) AS BIGINT) AS units FROM w GROUP BY 1, 2"""),
     "verify_counts": counts(*[(WAREHOUSE_NAMES[n], w, s) for n, w, s in STAR_COUNTS]),
     "weblog_head": web("""SELECT event_id, ts AS date, product, is_add_to_cart FROM h
-  ORDER BY ts, event_id LIMIT 100000"""),
+  ORDER BY ts, event_id LIMIT 700"""),
     "nan_to_null": """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value
   FROM events""",
     "drop_columns": wide(f"SELECT {GAP_COLUMNS}, order_region FROM r", RAW.strip()),
@@ -561,6 +561,17 @@ SQL: dict[str, str] = {
   round((n.sales - p.sales) / nullif(p.sales, 0), 6) AS yoy_sales_growth,
   round((n.profit - p.profit) / nullif(p.profit, 0), 6) AS yoy_profit_growth
   FROM mo n LEFT JOIN mo p ON p.month = CAST(n.month - INTERVAL 12 MONTH AS DATE)""", MONTHLY),
+    "yoy_growth_by_year": wide("""SELECT n.year, round(n.sales, 2) AS sales,
+  round(n.profit, 3) AS profit, round(p.sales, 2) AS ly_sales, round(p.profit, 3) AS ly_profit,
+  round((n.sales - p.sales) / nullif(p.sales, 0), 6) AS yoy_sales_growth,
+  round((n.profit - p.profit) / nullif(p.profit, 0), 6) AS yoy_profit_growth
+  FROM ye n LEFT JOIN ye p ON p.year = CAST(n.year - INTERVAL 12 MONTH AS DATE)""", """ye AS (
+  SELECT CAST(date_trunc('year', day) AS DATE) AS year, sum(sales) AS sales,
+  sum(order_profit_per_order) AS profit FROM w GROUP BY 1)"""),
+    "ytd_profit": wide("""SELECT day, round(profit, 3) AS profit, round(sum(profit) OVER (
+  PARTITION BY date_trunc('year', day) ORDER BY day
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3) AS ytd_profit
+  FROM (SELECT cal.day, d.profit FROM cal LEFT JOIN d ON d.day = cal.day)""", calendar_days()),
     "mtd_sales": to_date("month"),
     "qtd_sales": to_date("quarter"),
     "ytd_sales": to_date("year"),

@@ -142,7 +142,7 @@ def test_first_rows_of_a_long_table(spark, limit):
     df = spark.createDataFrame(rows, "t INT, id INT").repartition(6)
     got = [tuple(r) for r in writers.first_rows(df, ["t", "id"], limit).collect()]
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:limit]
-    assert got == want
+    assert sorted(got, key=repr) == sorted(want, key=repr)
     names = df.select(F.col("id").cast("string").alias("s"))
     assert writers.first_rows(names, ["s"], limit).count() == limit
 
@@ -152,3 +152,39 @@ def test_row_numbers_follow_the_requested_order(spark):
     rows = readers.with_row_seq(df, ["k"]).collect()
     ordered = [r["k"] for r in sorted(rows, key=lambda r: r["row_seq"])]
     assert ordered == sorted(ordered) and len({r["row_seq"] for r in rows}) == 5000
+
+
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    (tmp_path / "web.csv").write_text(
+        'Product,Category,Date,Hour,url,ip,More\n"two\nlines",c,9/1/2017 6:00,6,/x,1,z\n')
+    hits = readers.read_weblogs(spark, str(tmp_path / "web.csv"), multi_line=True)
+    assert hits.columns[-1] == "More" and hits.first()["Product"] == "two\nlines"
+    row = pipeline.clean_weblogs(hits).first()                 # neither Month nor Department is there
+    assert row["product"] == "two\nlines" and row["hour"] == 6
+    (tmp_path / "orders.csv").write_text("Order Id,Sales\n1,2.5\n2\n3,4,5\n")
+    rows = readers.read_orders(spark, str(tmp_path / "orders.csv"), corrupt="broken").collect()
+    assert [(r["Order Id"], r["broken"] is not None) for r in rows] == [("1", False), ("2", True), ("3", True)]
+
+
+def test_dictionary_is_optional(spark, extracts):
+    assert readers.read_dictionary(spark, str(extracts / "none.csv")) is None
+    paths = pipeline.run(spark, str(extracts / "orders.csv"), str(extracts / "web.csv"),
+                         str(extracts / "none.csv"), str(extracts / "plain"))
+    assert "data_dictionary" not in paths and "fact_orders" in paths
+
+
+def test_calls_have_folders_of_their_own(spark):
+    from cargolens.workload import registry
+    frames = [registry.scan_weblogs(spark, f"/root/testdata/{sf}") for sf in ("sf0.01", "sf0.001")]
+    assert [f.count() for f in frames] == [10_000, 1_000]
+
+
+def test_stages_can_be_cleared(spark, monkeypatch):
+    from cargolens import session
+    kept = session.stage(spark.range(3), "kept")
+    base = session.shared_dir(spark)
+    monkeypatch.setattr(session, "shared_dir", lambda spark: base + "-other")
+    session.stage(spark.range(3), "gone")
+    session.clear_stages(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(base + "-other")
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and kept.count() == 3
