@@ -50,6 +50,8 @@ def order_date_parts(d: Column) -> dict[str, Column]:
     }
 
 
+# The labels and edges of all rules below.
+
 # --- order line -------------------------------------------------------------
 
 def shipping_performance(delay: Column) -> Column:

@@ -31,12 +31,12 @@ def conform_order(df: DataFrame) -> DataFrame:
 def conform_fact(df: DataFrame) -> DataFrame:
     """Timestamps are cut to days here; the star tables keep the time of day."""
     days = ["Order_DateKey", "Shipping_DateKey"]
-    renamed = drop_any_case(df.withColumnsRenamed(WAREHOUSE_FACT_NAMES), "fact_id")
-    return renamed.withColumns({c: F.col(c).cast("date") for c in days})
+    return df.withColumnsRenamed(WAREHOUSE_FACT_NAMES).withColumns(
+        {c: F.col(c).cast("date") for c in days})
 
 
 def conform_weblogs(df: DataFrame) -> DataFrame:
-    return drop_any_case(df.withColumnsRenamed(WAREHOUSE_WEBLOG_NAMES), "log_id", "month")
+    return drop_any_case(df.withColumnsRenamed(WAREHOUSE_WEBLOG_NAMES), "month")
 
 
 def conform(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
