@@ -15,7 +15,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cargolens.llm.common import text_bytes
+from cargolens.llm.common import small_batches, text_bytes
 from cargolens.operators.row_numbers import number_rows
 from cargolens.session import stage
 
@@ -123,6 +123,7 @@ def fewest_capacity(sizes: np.ndarray, shards: int) -> np.ndarray:
 
 def shard_groups(groups: DataFrame, shards: int, part_groups: int = PART_GROUPS) -> DataFrame:
     """(key, shard) for stored ``groups`` (key, bytes)."""
+    small_batches(groups.sparkSession)
     total, count = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
     capacity = max(1, -(-total // (shards * BINS_A_SHARD)))
     parts = max(1, -(-count // part_groups))

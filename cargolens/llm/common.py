@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import cargolens
+
 # The white space of the corpus contracts, as a class for regular expressions
 # and as bytes. It is also what bytes.split() splits on.
 SPACE = r"\x20\x09-\x0D"
@@ -17,8 +23,18 @@ BATCH_CONF = {
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
+    """Prepare a session for Python workers: small batches, and this package on their path."""
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not hasattr(context, "_cargolens_shipped"):
+        package = Path(cargolens.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="cargolens-"), "cargolens.zip")
+        with zipfile.ZipFile(archive, "w") as file:
+            for source in sorted(package.rglob("*.py")):
+                file.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))   # the driver serves it; executors fetch it once
+        context._cargolens_shipped = True
     return spark
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cargolens.llm.common import SPACE
+from cargolens.llm.common import SPACE, small_batches
 from cargolens.session import stage
 
 MAX_SOURCES = 20_000        # a mix names its sources; more than this is refused
@@ -115,7 +115,7 @@ def draws(sized: DataFrame, plan: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
     ``sized``: source, __size, __block; stored, as it is read twice. Only sums for each source
     and block leave it, so a hot source is a row for each task and block.
     """
-    spark = sized.sparkSession
+    spark = small_batches(sized.sparkSession)
     per_source = (sized.groupBy("source").agg(F.sum("__size").alias("size"))
                   .limit(MAX_SOURCES + 1).collect())
     if len(per_source) > MAX_SOURCES:

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from cargolens.llm.common import small_batches
 from cargolens.llm.tokens import token_pieces
 from cargolens.session import stage
 
@@ -76,6 +77,7 @@ def pack(items: DataFrame, capacity: int = 4096, part_items: int = PART_ITEMS) -
     over the stored rows agree. Only numbers and lengths go through the packing. Columns of
     ``items`` may be null but for ``length``, and have any name but the two added.
     """
+    small_batches(items.sparkSession)
     stored = stage(items.withColumn("__item", F.monotonically_increasing_id()), "pack-items")
     parts = max(1, -(-stored.count() // part_items))
 
