@@ -5,7 +5,8 @@ them, found in a balanced tree of the remaining capacities. That is done twice.
 the groups are packed at the same time into small bins, each a few thousandths of a shard; the
 small bins, a number that the shards fix and not the data, are then packed into the shards. A
 fixed capacity is met to within the last small bin, and of all capacities the smallest is taken
-that needs no more than the wanted shards.
+that needs no more than the wanted shards. A group above an even share has a shard to itself, and
+the capacity of the other shards is searched without it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from cargolens.session import stage
 
 BINS_A_SHARD = 512      # small bins to a shard, before what the parts leave half full
 PART_GROUPS = 100_000   # groups that one task packs
+NEAR = 0.005            # loads that differ by no more of an even share are near equal
 
 
 class GapTree:
@@ -121,11 +123,48 @@ def fewest_capacity(sizes: np.ndarray, shards: int) -> np.ndarray:
     return best
 
 
+def above_even(sizes: list[int], total: int, shards: int) -> int:
+    """How many of the largest ``sizes`` (descending) are each above the even share of what the
+    larger ones leave; always fewer than ``shards``."""
+    count = 0
+    while count < len(sizes) and sizes[count] * (shards - count) > total:
+        total -= sizes[count]
+        count += 1
+    return count
+
+
+def even_bins(sizes: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each size, with loads as near to equal as whole sizes allow.
+
+    A size above the even share of what is left is alone. The others are packed at the smallest
+    capacity; if that leaves the loads apart, as sizes near the capacity do, the fullest shard is
+    closed and the rest packed anew over the other shards, so none stays empty for another's size.
+    """
+    out = np.empty(len(sizes), np.int64)
+    left = np.argsort(-sizes, kind="stable")
+    first = above_even(sizes[left[:shards]].tolist(), int(sizes.sum()), shards)
+    out[left[:first]] = np.arange(first)
+    left = left[first:]
+    while len(left):
+        rest = sizes[left]
+        bins = fewest_capacity(rest, shards - first)
+        loads = np.bincount(bins, rest, shards - first)
+        if np.ptp(loads) <= NEAR * loads.mean():
+            out[left] = first + bins
+            break
+        fullest = bins == loads.argmax()
+        out[left[fullest]] = first
+        left, first = left[~fullest], first + 1
+    return out
+
+
 def shard_groups(groups: DataFrame, shards: int, part_groups: int = PART_GROUPS) -> DataFrame:
     """(key, shard) for stored ``groups`` (key, bytes)."""
     small_batches(groups.sparkSession)
     total, count = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
-    capacity = max(1, -(-total // (shards * BINS_A_SHARD)))
+    largest = [r["bytes"] for r in groups.select("bytes").orderBy(F.desc("bytes")).limit(shards).collect()]
+    alone = above_even(largest, total, shards)   # their shards need no small bins
+    capacity = max(1, -(-(total - sum(largest[:alone])) // ((shards - alone) * BINS_A_SHARD)))
     parts = max(1, -(-count // part_groups))
 
     def pack_part(rows: pd.DataFrame) -> pd.DataFrame:
@@ -141,7 +180,7 @@ def shard_groups(groups: DataFrame, shards: int, part_groups: int = PART_GROUPS)
     def pack_bins(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("bin")
         return pd.DataFrame({"__bin": rows["bin"],
-                             "shard": fewest_capacity(rows["bytes"].to_numpy(), shards)})
+                             "shard": even_bins(rows["bytes"].to_numpy(), shards)})
 
     bins = packed.groupBy("bin").agg(F.sum("bytes").alias("bytes"))
     placed = stage(bins.withColumn("all", F.lit(1)).groupBy("all")
@@ -154,7 +193,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, part_groups: int = PART_GR
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot.
 
     Rows with equal texts stay together, and null counts as the empty text; a size is the UTF-8
-    bytes and 1. No group is ever split, so one larger than an even share makes its shard larger.
+    bytes and 1. No group is ever split, so one larger than an even share has a shard to itself, which
+    is larger; the other shards are near equal to each other.
     ``slot`` numbers a shard's rows by doc_id, then size, nulls first. A null doc_id and repeated
     rows are rows like others; other columns are not read.
     """

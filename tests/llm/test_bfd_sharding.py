@@ -3,8 +3,10 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from cargolens.llm.bfd_sharding import GapTree, best_fit_decreasing, fewest_capacity, shard_documents
+from cargolens.llm.bfd_sharding import (GapTree, best_fit_decreasing, even_bins, fewest_capacity,
+                                        shard_documents)
 
 from .helpers import DOCS, corpus
 
@@ -79,3 +81,25 @@ def test_few_rows_repeated_rows_and_none(spark):
     rows = [(None, "t", None, None, 1, "x")] * 4 + [(2, None, None, None, 1, None)]
     got = shard_documents(spark.createDataFrame(rows, DOCS)).collect()
     assert len(got) == 5 and sorted(r["slot"] for r in got) == [0, 0, 1, 2, 3]
+
+
+def test_other_shards_stay_near_equal_beside_large_groups(spark):
+    for share in (0.15, 0.2, 0.33, 0.99):
+        hot = int(4_000_000 * share / (1 - share))
+        loads = np.bincount(even_bins(np.array([1000] * 2000 + [hot] + [1000] * 2000), 8),
+                            [1000] * 2000 + [hot] + [1000] * 2000, 8)
+        assert loads.max() == hot and np.ptp(np.sort(loads)[:7]) <= 0.01 * 4_000_000 / 7
+    for sizes, want in (([10] * 9, [10] * 7 + [20]), ([10] * 10, [10] * 6 + [20] * 2), ([5, 5], [0] * 6 + [5, 5]),
+                        ([900, 300, 1], [0] * 5 + [1, 300, 900])):
+        assert sorted(np.bincount(even_bins(np.array(sizes), 8), sizes, 8)) == want
+    rng = random.Random(8)
+    texts = ["a" * rng.randint(1, 900) + str(k) for k in range(4000)]
+    for copies in (3000, 200_000):     # a third of the bytes, nearly all
+        hot = "hot text " * 40
+        rows = [(k, t, None, None, 1, None) for k, t in enumerate(texts)]
+        docs = spark.createDataFrame(rows, DOCS).union(spark.range(copies).selectExpr(
+            "id + 10000", f"'{hot}'", "null", "null", "1", "null"))
+        loads = sorted(r["n"] for r in shard_documents(docs, 8, 500).groupBy("shard").agg(
+            F.sum("size").alias("n")).collect())
+        assert len(loads) == 8 and loads[-1] == copies * (len(hot) + 1)
+        assert loads[6] - loads[0] <= 0.01 * sum(loads[:7]) / 7
