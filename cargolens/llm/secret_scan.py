@@ -3,8 +3,8 @@
 Patterns give candidates in whole texts. A candidate is reported under a kind of its own only
 after it has been decoded and parsed: a base64 or hex run must hold a nest of lengths that ends
 with its last byte (DER of a key, OpenSSH wire strings), a private key block must hold such a
-body, and a signed token must have a JSON header that names an algorithm. The spans of the plain
-patterns are reported as they are, the confirmed ones are added.
+body or, if its header lines say that it is encrypted, whole blocks of the cipher they name, and a
+signed token must have a JSON header that names an algorithm. The spans of the plain patterns are reported as they are, the confirmed ones are added.
 """
 
 from __future__ import annotations
@@ -28,8 +28,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")   # a run of 16 or more is a whole run of [0-
 LEAST_VALUE, LEAST_ACCESS = 12, 18
 KINDS = ["assign", "access", "hex", "pem", "jwt", "der", "ssh"]
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]{16,}+)-----END \1-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*+(?:-(?!----)[^-]*+)*+)-----END \1-----")
+PEM_BREAK = re.compile(r"\r?\n|\r|(?:\\r)?\\n|\\r")   # a line's end, or its escape in a string
+PEM_FIELD = re.compile(r"([A-Za-z][A-Za-z0-9-]*):(.*)")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=]*")
+INITIAL = re.compile(r"(?:[0-9A-Fa-f]{16}){1,2}")   # a cipher block of 8 or 16 bytes
+# A header is JSON: an encoded "{", or white space before it.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])((?:e[w-z0-9_-]|[CDI])[A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])")
 SSH_MAGIC = b"openssh-key-v1\x00"
@@ -91,7 +96,8 @@ def _sound(items: list[tuple[int, bytes]], depth: int = 0) -> bool:
 
 def is_der_key(data: bytes) -> bool:
     """One SEQUENCE over all bytes that starts like a key: a version and numbers or an
-    algorithm (private), or an algorithm and a bit string (public)."""
+    algorithm (private), an algorithm and a bit string (public), or an algorithm with parameters
+    and an octet string (encrypted; a digest's algorithm has none)."""
     items = _der_items(data) if data[:1] == b"\x30" else None
     if not items or len(items) != 1 or not _sound(items):
         return False
@@ -102,6 +108,8 @@ def is_der_key(data: bytes) -> bool:
                 or tags[1:2] == [4])
     if tags[:2] == [48, 3] and len(tags) == 2:
         return bool((first := _der_items(inner[0][1])) and first[0][0] == 6)
+    if tags[:2] == [48, 4] and len(tags) == 2:
+        return bool(inner[1][1]) and [tag for tag, _ in _der_items(inner[0][1]) or []] == [6, 48]
     return tags[:2] == [2, 2] and len(tags) == 2 and len(inner[0][1]) >= 64   # modulus, exponent
 
 
@@ -133,6 +141,35 @@ def is_ssh_key(data: bytes) -> bool:
     return bool(strings) and len(strings) >= 2 and strings[0].startswith(SSH_NAMES)
 
 
+def pem_parts(block: str) -> tuple[dict[str, str], bytes | None]:
+    """Header fields (names in lower case) and decoded body of what stands between the marks."""
+    lines = [line for part in PEM_BREAK.split(block) if (line := part.strip())]
+    fields, name, at = {}, None, 0
+    for at, line in enumerate([*lines, ""]):
+        if m := PEM_FIELD.fullmatch(line):
+            name = m[1].lower()
+            fields[name] = m[2].strip()
+        elif name is None or PEM_BODY.fullmatch(line):
+            break
+        else:
+            fields[name] += line    # a field that goes on
+    body = re.sub(r"\s", "", "".join(lines[at:]))
+    return fields, decoded(body) if PEM_BODY.fullmatch(body) else None
+
+
+def is_private_block(block: str) -> bool:
+    """A key's structure, or an encrypted body: the fields say so and name the cipher with its
+    initial block, and the body is whole blocks where the cipher's mode asks for them."""
+    fields, body = pem_parts(block)
+    if not body:
+        return False
+    if "ENCRYPTED" in fields.get("proc-type", "").upper():
+        cipher, _, initial = (x.strip() for x in fields.get("dek-info", "").partition(","))
+        return bool(cipher and INITIAL.fullmatch(initial)
+                    and (not cipher.upper().endswith("-CBC") or len(body) % (len(initial) // 2) == 0))
+    return is_der_key(body) or is_ssh_key(body)
+
+
 def is_signed_token(header: str, payload: str, signature: str) -> bool:
     """A JSON header with an algorithm, a body that decodes, and a signature unless it is none."""
     try:
@@ -157,10 +194,9 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of candidates whose decoded structure holds."""
     spans = []
     for m in PEM.finditer(text) if "-----BEGIN " in text else ():
-        body = decoded(re.sub(r"\\[nr]|\s", "", m[2]))
-        if body is not None and (is_der_key(body) or is_ssh_key(body)):
+        if is_private_block(m[2]):
             spans.append((m.start(), 3, m.end()))
-    for m in JWT.finditer(text) if "eyJ" in text else ():
+    for m in JWT.finditer(text):
         if is_signed_token(*m.groups()):
             spans.append((m.start(), 4, m.end()))
     for m in RUN.finditer(text):

@@ -105,3 +105,29 @@ def test_plain_spans_equal_brute_force(spark):
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(docs, {r["doc_id"]: r["text"] for r in docs.collect()})
+
+
+def test_encrypted_keys_header_lines_and_spaced_token_headers():
+    pbes = der(48, der(6, bytes.fromhex("2a864886f70d01050d")) + der(48, der(4, bytes(8)) + number(2048)))
+    locked = der(48, pbes + der(4, bytes(range(160))))
+    digest = der(48, der(48, der(6, bytes.fromhex("608648016503040201")) + der(5, b"")) + der(4, bytes(32)))
+    assert is_der_key(locked) and not is_der_key(digest) and not is_der_key(der(48, pbes + der(4, b"")))
+    assert "pem" in kinds(pem(locked, "ENCRYPTED PRIVATE KEY"))
+
+    def with_lines(data, *lines):
+        return pem(data, "RSA PRIVATE KEY").replace("KEY-----\n", "KEY-----\n" + "\n".join(lines) + "\n\n", 1)
+
+    proc, noise = "Proc-Type: 4,ENCRYPTED", bytes(k * 37 % 256 for k in range(160))
+    block = with_lines(noise, proc, "DEK-Info: AES-128-CBC," + "8D" * 16)
+    for text in (block, block.replace("\n", "\r\n"), block.replace("\n", "\\n"), block.replace("\n", "\n    "),
+                 with_lines(noise, proc, "DEK-Info: DES-EDE3-CBC," + "0a" * 8),
+                 with_lines(rsa_key(5), "Comment: my-own key, old")):
+        assert kinds("x " + text) == ["pem"] and confirmed_spans("x " + text)[0][2] == len(text) + 2
+    for text in (with_lines(noise, proc), with_lines(noise, "Comment: none"), with_lines(noise, proc, "DEK-Info: AES-128-CBC,8D"),
+                 with_lines(noise[:-3], proc, "DEK-Info: AES-128-CBC," + "8D" * 16), pem(noise)):
+        assert not kinds(text)
+    assert not kinds("-----BEGIN PRIVATE KEY-----a: b\n" * 20_000)
+    for header in (b'{ "alg":"HS256"}', b'{\n  "alg": "HS256"\n}', b' {"alg":"HS256"}', b'\r\n{"alg":"HS256"}', b'\t{"alg":"X"}'):
+        text = b64(header, True) + token({"alg": "x"})[len(b64(b'{"alg": "x"}', True)):]
+        assert kinds("a " + text) == ["jwt"]
+    assert not kinds("Dogs.are.nice example.com.au I.am.here")
