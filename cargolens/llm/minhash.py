@@ -1,8 +1,8 @@
 """Near-duplicate detection with b-bit MinHash.
 
 One scan takes the minima of every document's shingles. Groups of minima (bands) give the
-candidate buckets; of each minimum only its low bits are kept, packed into a few longs, and the
-share of equal low bits, corrected for chance, estimates the similarity of a candidate pair.
+candidate buckets; of each minimum, mixed, only its low bits are kept, packed into a few longs, and
+the share of equal low bits, corrected for chance, estimates the similarity of a candidate pair.
 Pairs that may reach the threshold are confirmed on the full shingle sets.
 
 Buckets are not expanded into pairs. Each bucket is compared with its hub, the member that
@@ -106,7 +106,9 @@ class _Sketcher:
         return key.view(np.int64)
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
-        low = (minima & np.uint32((1 << self.plan.bits) - 1)).astype(np.uint64)
+        # Low bits of a * x + b follow those of x, alike for every function; the mixed ones don't.
+        mixed = _mix(minima.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+        low = mixed & np.uint64((1 << self.plan.bits) - 1)
         low = low.reshape(self.plan.longs, -1) << self.shifts
         return np.bitwise_or.reduce(low, axis=1).view(np.int64)
 

@@ -99,6 +99,21 @@ def test_estimate_follows_the_true_similarity(spark):
     assert ((got.groupby("s")["e"].mean() - got.groupby("s")["e"].mean().index).abs() < 0.03).all()
 
 
+def test_estimate_keeps_short_texts_at_the_threshold():
+    """4 of 5 shingles shared: the estimate must not lose more links than the bands do."""
+    from cargolens.llm.minhash import _Sketcher
+    import numpy as np
+    plan, rng = Plan(), np.random.default_rng(9)
+    sketcher, most = _Sketcher(plan), 0
+    for _ in range(20_000):
+        union = rng.integers(1 << 62, size=5).astype(np.uint64)
+        x, y = (sketcher.packed(sketcher.minima(s)).view(np.uint64) for s in (union, union[:4]))
+        differ = x ^ y
+        differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+        most = max(most, int(np.bitwise_count(differ).sum()))
+    assert 1 - most / (plan.minima * 0.75) >= plan.cut
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)]
     links += [(2000, 2001), (2001, 2002), (2002, 2000), (5, 5), (None, 4)]
