@@ -271,16 +271,8 @@ def _possible(pairs: DataFrame, signatures: DataFrame, plan: Plan) -> DataFrame:
             .where(estimated_similarity(unequal, plan) >= plan.cut).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id among all
-    it is linked with, directly or not), kept (it is that document).
-
-    Words are split at ASCII white space, A-Z lower-cased; fewer words than a shingle are one
-    shingle. A text without words, or null, has none and is linked with nothing: its
-    component_id is its own doc_id. Texts of equal words are one class and are compared once. A
-    null doc_id is the smallest of its component only if there is no other; equal rows are
-    each kept or each not. Other columns are not read.
-    """
+def _grouped(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """Stored sketches of all rows, and (node, component, component_id) of the classes of words."""
     small_batches(docs.sparkSession)
     sketches = _sketches(docs, plan)
     classes = stage(
@@ -307,7 +299,11 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     labelled = stage(classes.select("node", "doc_id").join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component")), "minhash-classes")
     low = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    found = stage(labelled.join(low, "component").select("node", "component_id"), "minhash-found")
+    return sketches, stage(labelled.join(low, "component").select("node", "component", "component_id"),
+                           "minhash-found")
+
+
+def _judged(sketches: DataFrame, found: DataFrame) -> DataFrame:
     return (sketches.select("doc_id", "n_shingles", "node").join(found, "node", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("node").isNull(), F.col("doc_id"))
@@ -315,7 +311,51 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id among all
+    it is linked with, directly or not), kept (it is that document).
+
+    Words are split at ASCII white space, A-Z lower-cased; fewer words than a shingle are one
+    shingle. A text without words, or null, has none and is linked with nothing: its
+    component_id is its own doc_id. Texts of equal words are one class and are compared once. A
+    null doc_id is the smallest of its component only if there is no other; equal rows are
+    each kept or each not. Other columns are not read.
+    """
+    return _judged(*_grouped(docs, plan))
+
+
+def _one_row_each(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Of stored ``rows`` with ``__row``, whose ids aren't those of one row: the first row of each
+    component that has the component's id, and every row without words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = map(_words, batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 pa.array([_node(words) if words else None for words in lists], pa.binary())],
+                names=["__row", "doc_id", "node"])
+
+    nodes = stage(rows.select("__row", F.col("doc_id").cast("long"), text_bytes("text").alias("text"))
+                  .mapInArrow(run, "__row long, doc_id long, node binary"), "minhash-shared-nodes")
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = nodes.join(found, "node").where(own).groupBy("component").agg(F.min("__row").alias("__row"))
+    picked = first.select("__row").union(nodes.where("node IS NULL").select("__row"))
+    return rows.join(picked, "__row", "left_semi").drop("__row")
+
+
 def near_dedup(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are: one document of each group."""
-    kept = near_duplicates(docs, plan).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """The rows of ``docs`` that stay, all columns as they are: exactly one row of each group, and
+    every row without words. A row is found by its doc_id; rows whose id is null or comes again
+    are stored with a number and chosen by that."""
+    sketches, found = _grouped(docs, plan)
+    shared = stage(sketches.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+                   .select(F.col("doc_id").alias("__shared")), "minhash-shared-ids")
+    kept = _judged(sketches, found).where("kept").select(F.col("doc_id").alias("__id"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    if shared.isEmpty():
+        return docs.join(kept, same, "left_semi")
+    ours = F.col("doc_id").cast("long").eqNullSafe(F.col("__shared"))
+    rows = stage(docs.join(shared, ours, "left_semi")
+                 .withColumn("__row", F.monotonically_increasing_id()), "minhash-shared-rows")
+    once = kept.join(shared, F.col("__id").eqNullSafe(F.col("__shared")), "left_anti")
+    return docs.join(once, same, "left_semi").unionByName(_one_row_each(rows, found))

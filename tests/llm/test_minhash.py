@@ -78,6 +78,21 @@ def test_null_and_repeated_ids(spark):
         (3, 3, True), (3, 3, True), (None, 3, False), (None, None, True)]
 
 
+def test_dedup_keeps_one_row_of_each_group_of_repeated_ids(spark):
+    near = " ".join(f"w{k}" for k in range(60))
+    texts = [(None, near), (None, near + " more"), (None, "all other words of its own"), (None, None), (None, ""),
+             (7, "one text twice in full"), (7, "one text twice in full"), (7, "a second text under the id"),
+             (8, "a second text under the id"), (9, "alone with its id"), (9, None), (10, "the last one is unique")]
+    docs = spark.createDataFrame([(d, t, None, None, 0, str(k)) for k, (d, t) in enumerate(texts)], DOCS)
+    kept = near_dedup(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    want = [(None, "all other words of its own"), (None, None), (None, ""), (7, "one text twice in full"),
+            (7, "a second text under the id"), (9, "alone with its id"), (9, None), (10, "the last one is unique")]
+    left = [row for row in got if row[1] is None or not row[1].startswith(near)]
+    assert left == sorted(want, key=repr) and len(got) == len(want) + 1
+
+
 def test_estimate_follows_the_true_similarity(spark):
     from cargolens.llm.minhash import _Sketcher
     import numpy as np
