@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 import corpus_pipeline
-from cargolens.llm import (bfd_sharding, chat_format, grace_dedup, importance, minhash, mixing,
-                           quality_rules, revisits, secret_scan, sum_of_squares)
+from cargolens.llm import (bfd_sharding, chat_format, fill_in_middle, grace_dedup, importance, minhash,
+                           mixing, quality_rules, revisits, secret_scan, sum_of_squares)
 from cargolens.llm.common import table
 
 
@@ -62,6 +62,13 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return grace_dedup.duplicate_groups(table(spark, path, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, path: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(table(spark, path, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_importance_resampling": op1_importance_resampling,
@@ -74,6 +81,7 @@ QUERIES = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 SQL = {
@@ -263,4 +271,30 @@ SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept,
                sha256(content) AS text_sha256
         FROM keepers""",
+    "op13_fill_in_middle": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+                   sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+            FROM documents),
+        draws AS (
+            SELECT *, CAST('0x' || hex[1:8] AS BIGINT) % (len(units) + 1) AS p,
+                   CAST('0x' || hex[9:16] AS BIGINT) % (len(units) + 1) AS q,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') THEN 'plain'
+                        WHEN CAST('0x' || hex[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM texts),
+        cuts AS (
+            SELECT *, array_to_string(units[1:least(p, q)], '') AS prefix,
+                   array_to_string(units[least(p, q) + 1:greatest(p, q)], '') AS middle,
+                   array_to_string(units[greatest(p, q) + 1:], '') AS suffix
+            FROM draws)
+        SELECT doc_id, len(units) AS n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                                ELSE text END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM cuts""",
 }
