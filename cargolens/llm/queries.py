@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 import corpus_pipeline
-from cargolens.llm import (bfd_sharding, chat_format, fill_in_middle, grace_dedup, importance, minhash,
-                           mixing, quality_rules, revisits, secret_scan, sum_of_squares)
+from cargolens.llm import (bfd_sharding, chat_format, fill_in_middle, grace_dedup, importance,
+                           minhash, mixing, quality_rules, revisits, secret_scan, simhash,
+                           sum_of_squares)
 from cargolens.llm.common import table
 
 
@@ -62,6 +63,11 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return grace_dedup.duplicate_groups(table(spark, path, "documents"))
 
 
+def op12_simhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, path, "documents")).select(
+        "doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op13_fill_in_middle(spark: SparkSession, path: str) -> DataFrame:
     found = fill_in_middle.fill_in_middle(table(spark, path, "documents"))
     back = fill_in_middle.restored(F.col("output"), F.col("form"))
@@ -81,6 +87,7 @@ QUERIES = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
