@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 import corpus_pipeline
 from cargolens.llm import (bfd_sharding, chat_format, fill_in_middle, grace_dedup, importance,
-                           minhash, mixing, quality_rules, revisits, secret_scan, simhash,
+                           lexical_search, minhash, mixing, quality_rules, revisits, secret_scan, simhash,
                            sum_of_squares)
 from cargolens.llm.common import table
 
@@ -63,6 +63,10 @@ def op10_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     return grace_dedup.duplicate_groups(table(spark, path, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, path: str) -> DataFrame:
+    return lexical_search.search(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
 def op12_simhash_near_dedup(spark: SparkSession, path: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, path, "documents")).select(
         "doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
@@ -87,6 +91,7 @@ QUERIES = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
@@ -278,6 +283,33 @@ SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept,
                sha256(content) AS text_sha256
         FROM keepers""",
+    "op11_ranked_search": r"""
+        WITH found AS (
+            SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents WHERE text IS NOT NULL),
+        sizes AS (SELECT doc, doc_id, count(*) AS n FROM found GROUP BY ALL),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+        held AS (SELECT doc, term, count(*) AS tf FROM found GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM held, total GROUP BY term),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE text IS NOT NULL),
+        scores AS (
+            SELECT item_id, doc, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) //
+                       (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (doc), total
+            GROUP BY item_id, doc),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                       PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
     "op13_fill_in_middle": r"""
         WITH texts AS (
             SELECT doc_id, coalesce(text, '') AS text,
