@@ -177,25 +177,14 @@ def fill_in_middle(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
                                   "middle_chars long, output string, containers string")
 
 
-def _after(text: Column, head: Column | str) -> Column:
-    size = F.length(head) if isinstance(head, Column) else F.lit(len(head))
-    return text.substr(size + 1, F.length(text))
-
-
 def restored(output: Column, form: Column, markers: Markers = Markers()) -> Column:
     """The text that ``output`` was made from. Each marker is in it exactly once: the text has none
     and none can arise where a text and a marker meet."""
     m = markers
 
-    def parts(first: str, second: str) -> tuple[Column, Column, Column]:
-        body = _after(output, first)
-        one = F.substring_index(body, second, 1)
-        rest = _after(_after(body, one), second)
-        two = F.substring_index(rest, m.middle, 1)
-        return one, two, _after(_after(rest, two), m.middle)
-
-    prefix, suffix, middle = parts(m.prefix, m.suffix)
-    psm = F.concat(prefix, middle, suffix)
-    suffix, prefix, middle = parts(m.suffix, m.prefix)
-    spm = F.concat(prefix, middle, suffix)
-    return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)
+    def parsed(order: tuple[str, str, str], text: str) -> Column:
+        pattern = "".join(f"\\Q{marker}\\E(.*)" for marker in order)
+        return F.regexp_replace(output, f"(?s)^{pattern}$", text)
+
+    return (F.when(form == "psm", parsed((m.prefix, m.suffix, m.middle), "$1$3$2"))
+            .when(form == "spm", parsed((m.suffix, m.prefix, m.middle), "$2$3$1")).otherwise(output))
