@@ -7,7 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cargolens.functions.numbers import zero_safe_corr
-from cargolens.operators.quantiles import as_double, exact_quantiles, unpivot
+from cargolens.operators.quantiles import (as_double, exact_quantiles, sketch_columns,
+                                           unpivot)
 from cargolens.session import stage
 
 
@@ -64,22 +65,23 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 3) -> Da
         "pair.*", "r")
 
 
+QUARTILES = [0.25, 0.5, 0.75]
+
+
 def _numbers(df: DataFrame, times: list[str], numbers: list[str]) -> DataFrame:
     """Profile rows of the stored number columns, ``times`` first."""
     measured = times + numbers
     # Unpivoted, so that the aggregate stays small enough to compile; a row per column is
     # all that leaves a task.
-    stats = unpivot(df, measured).groupBy("i").agg(
-        F.count("*").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").alias("n"),
-        F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    spread = {c: {"n": 0} for c in measured} | {measured[r["i"]]: r for r in stats}
-    quartiles = exact_quantiles(df, measured, [0.25, 0.5, 0.75], spread)
-    rows = [(measured[r["i"]], r["count"], r["mean"], None if r["i"] < len(times) else r["std"],
-             r["min"], *quartiles[measured[r["i"]]], r["max"]) for r in stats]
+    rows = unpivot(df, measured).groupBy("i").agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), *sketch_columns(QUARTILES)).collect()
+    stats = {measured[r["i"]]: r for r in rows}
+    quartiles = exact_quantiles(df, measured, QUARTILES, stats)
+    profile = [(c, r["n"], r["mean"], None if c in times else r["std"], r["lo"], *quartiles[c], r["hi"])
+               for c, r in stats.items()]
     return df.sparkSession.createDataFrame(
-        rows, "column_name STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, p25 DOUBLE, "
-              "p50 DOUBLE, p75 DOUBLE, max DOUBLE")
+        profile, "column_name STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, p25 DOUBLE, "
+                 "p50 DOUBLE, p75 DOUBLE, max DOUBLE")
 
 
 def _texts(df: DataFrame, text: list[str]) -> DataFrame:

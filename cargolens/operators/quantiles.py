@@ -1,14 +1,13 @@
 """Exact quantiles of many columns without gathering a column in one task.
 
 ``percentile`` keeps every distinct value of a group in one task and a global sort moves every
-row. Here the range that holds a wanted rank is cut into slots of equal width, the values are
-counted by slot, and the slot with the rank is the next range, until it holds one value. The
-ends of a range are values of the column and have slots of their own, so each step shrinks it.
-A rank and the next one are followed apart from each other, wherever they lie.
+row. Here a sketch of each column brackets the wanted ranks; one more pass counts what lies outside
+the brackets and stores what lies inside, value by value; the stored rest, a small share of the
+rows, is sorted by range and counted to the rank. Two passes over the frame and one over the rest,
+however the values are spread.
 
 Like ``DataFrame.approxQuantile`` this runs at once and returns plain lists. What comes to the
-driver is a row for each rank and step. Every step scans the frame, the first one counts all of
-its values and the later ones those in the ranges left: stage a frame that is costly.
+driver is a row for each column and for each rank. Stage a frame that is costly.
 """
 
 from __future__ import annotations
@@ -20,8 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from cargolens.functions.numbers import nan_to_null
+from cargolens.operators.row_numbers import PARTITION_SHIFT
+from cargolens.session import stage
 
-SLOTS = 4096
+# The sketch tells the rank of a value to one of so many parts of a column. More parts leave fewer
+# values for the last pass and make the sketches larger that each task hands over.
+SLOTS = 2000
 
 
 def as_double(c: str) -> Column:
@@ -38,81 +41,161 @@ def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, c in enumerate(columns)])).alias("t")).select("t.*").where("v is not null")
 
 
+# --- brackets from a sketch -------------------------------------------------------
+
+def _margins() -> list[float]:
+    """Distances from a wanted share at which the sketch is asked, up to all of the column. Its
+    answers are off by one slot at most, so two and a half hold the rank in any case; wider ones are
+    for columns of so few values that a rank is a share of its own."""
+    first = 2.5 / SLOTS
+    return [first * 2 ** k for k in range(math.ceil(math.log2(max(1 / first, 1))) + 1)]
+
+
+def sketch_columns(probabilities: Sequence[float]) -> list[Column]:
+    """Aggregates of the rows of ``unpivot``, by ``i``, that ``exact_quantiles`` starts from."""
+    inner = sorted({p for p in probabilities if 0 < p < 1})
+    shares = [min(max(p + side * m, 0.0), 1.0) for p in inner for m in _margins() for side in (-1, 1)]
+    sketch = (F.percentile_approx("v", shares, SLOTS) if shares else F.array().cast("array<double>"))
+    return [F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), sketch.alias("sketch")]
+
+
 @dataclass
-class _Rank:
-    """The value that ``at`` others of column ``i`` precede: known to lie in [lo, hi], where
-    ``at`` counts from lo."""
+class _Bracket:
+    """Values of column ``i`` in [lo, hi]; ``before`` others lie below."""
 
     i: int
-    at: int
     lo: float
     hi: float
-
-
-def _slot(v: Column, lo: Column, hi: Column) -> Column:
-    share = 1 + F.floor((v - lo) / (hi - lo) * (SLOTS - 2))
-    inner = F.least(F.greatest(F.coalesce(share, F.lit(1)), F.lit(1)), F.lit(SLOTS - 2))
-    return F.when(v <= lo, 0).when(v >= hi, SLOTS - 1).otherwise(inner)
-
-
-def _step(df: DataFrame, columns: Sequence[str], ranks: list[_Rank]) -> None:
-    """Narrow each rank to its slot; one job for all."""
-    spans: dict[tuple[int, float, float], list[_Rank]] = {}
-    for r in ranks:
-        spans.setdefault((r.i, r.lo, r.hi), []).append(r)
-    entries = F.explode(F.array(*[
-        F.when(as_double(columns[i]).between(lo, hi),
-               F.struct(F.lit(k).alias("k"), as_double(columns[i]).alias("v")))
-        for k, (i, lo, hi) in enumerate(spans)])).alias("e")
-    lows, highs = (F.array(*[F.lit(s[side]) for s in spans])[F.col("k")] for side in (1, 2))
-    counts = (df.select(entries).where("e is not null").select("e.*")
-              .groupBy("k", _slot(F.col("v"), lows, highs).alias("slot"))
-              .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
-    upto = F.sum("n").over(Window.partitionBy("k").orderBy("slot")
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    wanted = F.array(*[F.array(*[F.lit(r.at).cast("long") for r in rs]) for rs in spans.values()])
-    before = F.col("upto") - F.col("n")
-    rows = (counts.withColumn("upto", upto)   # at most SLOTS rows of a span
-            .where(F.exists(wanted[F.col("k")], lambda at: (at >= before) & (at < F.col("upto"))))
-            .collect())
-    for k, same in enumerate(spans.values()):
-        for r in same:
-            row = next(x for x in rows if x["k"] == k and x["upto"] - x["n"] <= r.at < x["upto"])
-            r.at, r.lo, r.hi = r.at - (row["upto"] - row["n"]), row["lo"], row["hi"]
-
-
-def ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
-    """Count, least and greatest value of each column."""
-    return df.agg(*[F.struct(
-        F.count(as_double(c)).alias("n"), F.min(as_double(c)).alias("lo"),
-        F.max(as_double(c)).alias("hi")).alias(c) for c in columns]).first().asDict()
+    before: int = 0
+    n: int = 0
+
+    def holds(self, at: int) -> bool:
+        return self.before <= at < self.before + self.n
+
+
+def _ranks(n: int, p: float) -> tuple[int, int]:
+    """The two ranks, from 0, between which the quantile of ``n`` values lies."""
+    at = math.floor(p * (n - 1))
+    return at, min(at + 1, n - 1)
+
+
+def _bracketed(i: int, stats: Row, probabilities: Sequence[float]) -> list[_Bracket]:
+    """Disjoint brackets, ascending, that hold the ranks of column ``i``."""
+    inner, margins = sorted({p for p in probabilities if 0 < p < 1}), _margins()
+    wide = 2.0 / SLOTS + 2.0 / stats["n"]
+    pick = next((k for k, m in enumerate(margins) if m >= wide), None)
+    found: list[_Bracket] = []
+    for k, p in enumerate(inner):
+        lo, hi = stats["lo"], stats["hi"]
+        if pick is not None:
+            place = 2 * (k * len(margins) + pick)
+            lo, hi = stats["sketch"][place:place + 2]
+        if found and lo <= found[-1].hi:
+            found[-1].hi = max(found[-1].hi, hi)
+        else:
+            found.append(_Bracket(i, lo, hi))
+    return found
+
+
+# --- what lies inside -------------------------------------------------------------
+
+def _inside(df: DataFrame, columns: Sequence[str], brackets: list[_Bracket]) -> DataFrame:
+    """Stored rows (i, region, v, n) of one pass: regions 0, 2, ... lie outside the column's brackets
+    and have one count each, regions 1, 3, ... inside, with a count for each value."""
+    of_column = {i: [b for b in brackets if b.i == i] for i in {b.i for b in brackets}}
+    ends: dict[str, list] = {"lo": [], "hi": []}
+    most = max(len(x) for x in of_column.values())
+    for side, table in ends.items():
+        for k in range(most):
+            table.append(F.array(*[F.lit(getattr(of_column[i][k], side) if k < len(of_column.get(i, []))
+                                         else None).cast("double") for i in range(len(columns))]))
+    i, v = F.col("i"), F.col("v")
+    region = sum((F.coalesce((v >= lo[i]).cast("int"), F.lit(0)) + F.coalesce((v > hi[i]).cast("int"), F.lit(0))
+                  for lo, hi in zip(ends["lo"], ends["hi"])), F.lit(0))
+    cells = unpivot(df, columns).where(i.isin(list(of_column))).withColumn("region", region)
+    kept = F.when(F.col("region") % 2 == 1, v)
+    return stage(cells.groupBy("i", "region", kept.alias("v")).agg(F.count("*").alias("n")), "quantile-rest")
+
+
+def _count(rest: DataFrame, brackets: list[_Bracket]) -> None:
+    """Fill in how many values lie below and inside each bracket."""
+    counts = {(r["i"], r["region"]): r["n"] for r in
+              rest.groupBy("i", "region").agg(F.sum("n").alias("n")).collect()}
+    region: dict[int, int] = {}
+    for b in brackets:
+        region[b.i] = own = region.get(b.i, -1) + 2
+        b.before = sum(counts.get((b.i, r), 0) for r in range(own))
+        b.n = counts.get((b.i, own), 0)
+
+
+def _select(rest: DataFrame, wanted: set[tuple[int, int, int]]) -> dict[tuple[int, int, int], float]:
+    """The values at the ``wanted`` places (i, region, place among the region's values)."""
+    if not wanted:
+        return {}
+    keys = ["i", "region", "v"]
+    placed = stage(rest.where("v is not null").repartitionByRange(*keys).sortWithinPartitions(*keys)
+                   .withColumn("part", F.shiftright(F.monotonically_increasing_id(), PARTITION_SHIFT)),
+                   "quantile-order")
+    by = ["i", "region"]
+    totals = placed.groupBy("part", *by).agg(F.sum("n").alias("total"))
+    before = F.sum("total").over(Window.partitionBy(*by).orderBy("part")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+    asked = rest.sparkSession.createDataFrame(sorted(wanted), "i INT, region INT, at BIGINT")
+    # One row for each stored part, and of the parts only those that hold a wanted place.
+    totals = totals.withColumn("before", F.coalesce(before, F.lit(0)))
+    here = totals.join(asked, by).where("before <= at AND at < before + total")
+    running = F.sum("n").over(Window.partitionBy("part", *by).orderBy("v")
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = (placed.join(here.select("part", *by, "before").distinct(), ["part", *by])
+             .withColumn("upto", F.col("before") + running).join(asked, by)
+             .where("upto - n <= at AND at < upto").select("i", "region", "at", "v"))
+    return {(r["i"], r["region"], r["at"]): r["v"] for r in found.collect()}
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    spread: Mapping[str, Row] | None = None) -> dict[str, list[float] | None]:
+                    stats: Mapping[str, Row] | None = None) -> dict[str, list[float] | None]:
     """Quantiles per column, interpolated linearly; None for a column without values.
 
-    Nulls and NaN are ignored. ``spread`` is what ``ranges`` gives, where it is known already.
+    Nulls and NaN are ignored. ``stats`` has the ``sketch_columns`` of each column that has
+    values, where another aggregate has taken them already.
     """
-    if not columns:
-        return {}
-    spread = spread or ranges(df, columns)
-    ranks: dict[tuple[int, int], _Rank] = {}
+    if stats is None:
+        rows = unpivot(df, columns).groupBy("i").agg(*sketch_columns(probabilities)).collect()
+        stats = {columns[r["i"]]: r for r in rows}
+    known: dict[tuple[int, int], float] = {}      # (column, rank) -> value
+    ranks: dict[int, set[int]] = {}
     for i, c in enumerate(columns):
-        for p in probabilities if spread[c]["n"] else []:
-            last = spread[c]["n"] - 1
-            for at in (math.floor(p * last), min(math.floor(p * last) + 1, last)):
-                lo, hi = spread[c]["lo"], spread[c]["hi"]
-                lo, hi = (lo, lo) if at == 0 else (hi, hi) if at == last else (lo, hi)
-                ranks[i, at] = _Rank(i, at, lo, hi)
-    while left := [r for r in ranks.values() if r.lo < r.hi]:
-        _step(df, columns, left)
-
-    def value(i: int, c: str, p: float) -> float:
-        position = p * (spread[c]["n"] - 1)
-        at = math.floor(position)
-        v0, v1 = ranks[i, at].lo, ranks[i, min(at + 1, spread[c]["n"] - 1)].lo
-        return v0 if v0 == v1 else v0 + (v1 - v0) * (position - at)
-
-    return {c: [value(i, c, p) for p in probabilities] if spread[c]["n"] else None
+        if c not in stats:
+            continue
+        s = stats[c]
+        known |= {(i, 0): s["lo"], (i, s["n"] - 1): s["hi"]}
+        ranks[i] = {at for p in probabilities for at in _ranks(s["n"], p)} - {0, s["n"] - 1}
+        if s["lo"] == s["hi"]:
+            known |= {(i, at): s["lo"] for at in ranks.pop(i)}
+    brackets = [b for i in ranks if ranks[i] for b in _bracketed(i, stats[columns[i]], probabilities)]
+    while brackets:
+        rest = _inside(df, columns, brackets)
+        _count(rest, brackets)
+        wanted, at_rank, missed = set(), {}, set()
+        for i in {b.i for b in brackets}:
+            mine = [b for b in brackets if b.i == i]
+            for at in ranks[i]:
+                k = next((k for k, b in enumerate(mine) if b.holds(at)), None)
+                if k is None:
+                    missed.add(i)
+                    continue
+                place = (i, 2 * k + 1, at - mine[k].before)
+                wanted.add(place)
+                at_rank[place] = (i, at)
+        known |= {at_rank[place]: v for place, v in _select(rest, wanted).items()}
+        # A sketch within its bound holds every rank; a column whose sketch wasn't is taken whole.
+        brackets = [_Bracket(i, stats[columns[i]]["lo"], stats[columns[i]]["hi"]) for i in missed]
+
+    def value(i: int, n: int, p: float) -> float:
+        position = p * (n - 1)
+        low, high = _ranks(n, p)
+        v0, v1 = known[i, low], known[i, high]
+        return v0 if v0 == v1 else v0 + (v1 - v0) * (position - low)
+
+    return {c: [value(i, stats[c]["n"], p) for p in probabilities] if c in stats else None
             for i, c in enumerate(columns)}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cargolens.session import stage
 
-_PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above these bits
+PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
 def number_rows(df: DataFrame, order: list[str], name: str, by: list[str] | None = None,
@@ -26,7 +26,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, by: list[str] | None
     place, part = f"__{name}_place", f"__{name}_part"
     placed = stage(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
                    .withColumn(place, F.monotonically_increasing_id()), name)
-    placed = placed.withColumn(part, F.shiftright(place, _PARTITION_SHIFT))
+    placed = placed.withColumn(part, F.shiftright(place, PARTITION_SHIFT))
     counts = placed.groupBy(part, *by).agg(F.count("*").alias("n"), F.min(place).alias("first"))
     before = F.sum("n").over(Window.partitionBy(*by).orderBy(part)
                              .rowsBetween(Window.unboundedPreceding, -1))

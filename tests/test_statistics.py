@@ -51,6 +51,46 @@ def test_median_between_two_far_clusters_and_among_infinities(spark):
         assert median == np.median(values)
 
 
+def spread_values(kind, n=2000):
+    rng = random.Random(7)
+    values = {
+        "log": [math.copysign(10 ** rng.uniform(-300, 300), rng.random() - 0.5) for _ in range(n)],
+        "infinite": [rng.choice([-math.inf, math.inf, 0.0, 1e-320, -5e-324, 1.7e308]) for _ in range(n)],
+        "one in three": [1.0 if i % 3 else rng.random() for i in range(n)],
+        "nested": [1 + 2.0 ** -(i % 52) for i in range(n)],
+        "few": [0.1, 0.2, 0.3],
+    }
+    return values[kind]
+
+
+@pytest.mark.parametrize("kind", ["log", "infinite", "one in three", "nested", "few"])
+@pytest.mark.parametrize("slots", [50, 2000])
+def test_two_passes_however_the_values_are_spread(spark, monkeypatch, kind, slots):
+    monkeypatch.setattr(quantiles, "SLOTS", slots)
+    passes = []
+    unpivot = quantiles.unpivot
+    monkeypatch.setattr(quantiles, "unpivot", lambda *a: passes.append(a) or unpivot(*a))
+    values = spread_values(kind)
+    df = spark.createDataFrame([(v, -i) for i, v in enumerate(values)], "x DOUBLE, y LONG").repartition(6)
+    shares = [0.0, 0.001, 0.2, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = quantiles.exact_quantiles(df, ["x", "y"], shares)
+    assert len(passes) == 2
+    for column, data in (("x", values), ("y", [-float(i) for i in range(len(values))])):
+        ranked = sorted(data)
+        for p, v in zip(shares, got[column]):
+            at = math.floor(p * (len(data) - 1))
+            lo, hi = ranked[at], ranked[min(at + 1, len(data) - 1)]
+            want = lo if lo == hi else lo + (hi - lo) * (p * (len(data) - 1) - at)
+            assert v == want or math.isclose(v, want, rel_tol=1e-12) or (math.isnan(v) and math.isnan(want))
+
+
+def test_a_sketch_out_of_its_bound_costs_a_pass_not_the_result(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)], "x DOUBLE")
+    stats = quantiles.unpivot(df, ["x"]).groupBy("i").agg(*quantiles.sketch_columns([0.5])).first()
+    wrong = stats.asDict() | {"sketch": [90.0 + k / 100 for k in range(len(stats["sketch"]))]}
+    assert quantiles.exact_quantiles(df, ["x"], [0.5], {"x": wrong})["x"] == [49.5]
+
+
 def rfm_star(spark, rows):
     fact = spark.createDataFrame(rows, "customer_id BIGINT, order_id BIGINT, "
                                        "order_date_dateorders TIMESTAMP_NTZ, sales DOUBLE")
