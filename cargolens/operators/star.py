@@ -32,23 +32,20 @@ def _derive(df: DataFrame, rules: Rules) -> DataFrame:
         if set(inputs) <= set(df.columns)})
 
 
-def dim_customer(wide: DataFrame, order: list[str]) -> DataFrame:
-    dim = first_row_per_key(wide, "customer_id", present(wide, CUSTOMER_COLUMNS), order,
-                            order == ["row_seq"])
+def dim_customer(wide: DataFrame, order: str | list[str]) -> DataFrame:
+    dim = first_row_per_key(wide, "customer_id", present(wide, CUSTOMER_COLUMNS), order)
     return _derive(dim, {"customer_full_location": (
         ["customer_city", "customer_country"], derive.full_location)})
 
 
-def dim_product(wide: DataFrame, order: list[str]) -> DataFrame:
-    dim = first_row_per_key(wide, "product_card_id", present(wide, PRODUCT_COLUMNS), order,
-                            order == ["row_seq"])
+def dim_product(wide: DataFrame, order: str | list[str]) -> DataFrame:
+    dim = first_row_per_key(wide, "product_card_id", present(wide, PRODUCT_COLUMNS), order)
     return _derive(dim, {"stock_status": (["product_status"], derive.stock_status),
                          "price_range": (["product_price"], derive.price_range)})
 
 
-def dim_order(wide: DataFrame, order: list[str]) -> DataFrame:
-    dim = first_row_per_key(wide, "order_id", present(wide, ORDER_COLUMNS), order,
-                            order == ["row_seq"])
+def dim_order(wide: DataFrame, order: str | list[str]) -> DataFrame:
+    dim = first_row_per_key(wide, "order_id", present(wide, ORDER_COLUMNS), order)
     return _derive(dim, {"status_group": (["order_status"], derive.status_group),
                          "delivery_risk_flag": (["delivery_status"], derive.delivery_risk_flag)})
 

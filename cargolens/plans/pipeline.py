@@ -86,10 +86,10 @@ def clean_weblogs(raw: DataFrame, formats: list[str] = cleaning.DATE_FORMATS) ->
 
 
 def build_star(clean: DataFrame, weblogs: DataFrame | None = None,
-               order: list[str] = ("row_seq",), first_day: str = "2015-01-01",
+               order: str | list[str] = "row_seq", first_day: str = "2015-01-01",
                last_day: str = "2018-12-31") -> dict[str, DataFrame]:
-    """Star tables of cleaned order lines; ``order`` ranks the rows of one key."""
-    order = list(order)
+    """Star tables of cleaned order lines; ``order``, a row number or a list of columns, ranks the
+    rows of one key (see ``first_row_per_key``)."""
     tables = {
         "fact_orders": star.fact_orders(clean),
         "dim_customer": star.dim_customer(clean, order),
