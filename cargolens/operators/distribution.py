@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cargolens.functions.numbers import zero_safe_corr
-from cargolens.operators.quantiles import (as_double, exact_quantiles, sketch_columns,
+from cargolens.operators.quantiles import (as_double, exact_quantiles, spread_columns,
                                            unpivot)
 from cargolens.session import stage
 
@@ -66,6 +66,7 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 3) -> Da
 
 
 QUARTILES = [0.25, 0.5, 0.75]
+ROW_GROUP = 4 << 20     # every row is spread to its cells in each pass
 
 
 def _numbers(df: DataFrame, times: list[str], numbers: list[str]) -> DataFrame:
@@ -74,7 +75,7 @@ def _numbers(df: DataFrame, times: list[str], numbers: list[str]) -> DataFrame:
     # Unpivoted, so that the aggregate stays small enough to compile; a row per column is
     # all that leaves a task.
     rows = unpivot(df, measured).groupBy("i").agg(
-        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), *sketch_columns(QUARTILES)).collect()
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), *spread_columns()).collect()
     stats = {measured[r["i"]]: r for r in rows}
     quartiles = exact_quantiles(df, measured, QUARTILES, stats)
     profile = [(c, r["n"], r["mean"], None if c in times else r["std"], r["lo"], *quartiles[c], r["hi"])
@@ -113,7 +114,7 @@ def describe(df: DataFrame) -> DataFrame:
     numbers = [c for c in df.columns if c not in text and c not in times]
     stored = stage(df.select(
         *text, *[F.unix_timestamp(F.col(c).cast("timestamp")).alias(c) for c in times],
-        *[as_double(c).alias(c) for c in numbers]), "profile")
+        *[as_double(c).alias(c) for c in numbers]), "profile", ROW_GROUP)
     order = ["column_name", "count", "unique", "top", "freq",
              "mean", "std", "min", "p25", "p50", "p75", "max"]
     return _texts(stored, text).unionByName(

@@ -1,10 +1,11 @@
 """Exact quantiles of many columns without gathering a column in one task.
 
 ``percentile`` keeps every distinct value of a group in one task and a global sort moves every
-row. Here a sketch of each column brackets the wanted ranks; one more pass counts what lies outside
-the brackets and stores what lies inside, value by value; the stored rest, a small share of the
-rows, is sorted by range and counted to the rank. Two passes over the frame and one over the rest,
-however the values are spread.
+row. Here a bounded sample brackets the wanted ranks; one more pass counts what lies outside the
+brackets and stores what lies inside, value by value; the stored rest, a few hundredths of the
+rows at most, is sorted by range and counted to the rank. A sample can't change a result: the counts
+say whether a bracket holds its rank, and one that doesn't is taken wider. With the pass that
+takes the ends of each column these are three passes, however the values are spread.
 
 Like ``DataFrame.approxQuantile`` this runs at once and returns plain lists. What comes to the
 driver is a row for each column and for each rank. Stage a frame that is costly.
@@ -16,15 +17,15 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cargolens.functions.numbers import nan_to_null
 from cargolens.operators.row_numbers import PARTITION_SHIFT
 from cargolens.session import stage
 
-# The sketch tells the rank of a value to one of so many parts of a column. More parts leave fewer
-# values for the last pass and make the sketches larger that each task hands over.
-SLOTS = 2000
+SAMPLE = 1 << 17    # rows that bracket the ranks, about
+SLOTS = 2000        # the sample's sketch tells the rank of a value to one of so many parts
+DEVIATIONS = 5      # a bracket misses its rank by chance once in a million
 
 
 def as_double(c: str) -> Column:
@@ -41,22 +42,33 @@ def unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, c in enumerate(columns)])).alias("t")).select("t.*").where("v is not null")
 
 
-# --- brackets from a sketch -------------------------------------------------------
+# --- brackets from a sample -------------------------------------------------------
+
+def spread_columns() -> list[Column]:
+    """Aggregates of the rows of ``unpivot``, by ``i``, that ``exact_quantiles`` starts from."""
+    return [F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+
+
+def _inner(probabilities: Sequence[float]) -> list[float]:
+    return sorted({p for p in probabilities if 0 < p < 1})
+
 
 def _margins() -> list[float]:
-    """Distances from a wanted share at which the sketch is asked, up to all of the column. Its
-    answers are off by one slot at most, so two and a half hold the rank in any case; wider ones are
-    for columns of so few values that a rank is a share of its own."""
-    first = 2.5 / SLOTS
-    return [first * 2 ** k for k in range(math.ceil(math.log2(max(1 / first, 1))) + 1)]
+    """Distances from a wanted share at which the sample is asked, up to all of a column."""
+    first = 2.0 / SLOTS
+    return [first * 1.5 ** k for k in range(math.ceil(math.log(max(1 / first, 1), 1.5)) + 1)]
 
 
-def sketch_columns(probabilities: Sequence[float]) -> list[Column]:
-    """Aggregates of the rows of ``unpivot``, by ``i``, that ``exact_quantiles`` starts from."""
-    inner = sorted({p for p in probabilities if 0 < p < 1})
-    shares = [min(max(p + side * m, 0.0), 1.0) for p in inner for m in _margins() for side in (-1, 1)]
-    sketch = (F.percentile_approx("v", shares, SLOTS) if shares else F.array().cast("array<double>"))
-    return [F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), sketch.alias("sketch")]
+def _sketches(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+              share: float) -> dict[int, tuple[int, list[float]]]:
+    """For each column its values in the sample and, for each wanted share and margin, the value
+    that far below and above the share."""
+    asked = [min(max(p + side * m, 0.0), 1.0) for p in _inner(probabilities) for m in _margins()
+             for side in (-1, 1)]
+    rows = df.sample(False, share, 11) if share < 1 else df
+    found = unpivot(rows, columns).groupBy("i").agg(
+        F.count("*").alias("n"), F.percentile_approx("v", asked, SLOTS).alias("sketch"))
+    return {r["i"]: (r["n"], r["sketch"]) for r in found.collect()}
 
 
 @dataclass
@@ -79,17 +91,24 @@ def _ranks(n: int, p: float) -> tuple[int, int]:
     return at, min(at + 1, n - 1)
 
 
-def _bracketed(i: int, stats: Row, probabilities: Sequence[float]) -> list[_Bracket]:
-    """Disjoint brackets, ascending, that hold the ranks of column ``i``."""
-    inner, margins = sorted({p for p in probabilities if 0 < p < 1}), _margins()
-    wide = 2.0 / SLOTS + 2.0 / stats["n"]
-    pick = next((k for k, m in enumerate(margins) if m >= wide), None)
+def _bracketed(i: int, stats: Mapping, sampled: tuple[int, list[float]] | None,
+               probabilities: Sequence[float]) -> list[_Bracket]:
+    """Disjoint brackets, ascending, that should hold the ranks of column ``i``."""
+    margins = _margins()
     found: list[_Bracket] = []
-    for k, p in enumerate(inner):
+    for k, p in enumerate(_inner(probabilities)):
         lo, hi = stats["lo"], stats["hi"]
-        if pick is not None:
-            place = 2 * (k * len(margins) + pick)
-            lo, hi = stats["sketch"][place:place + 2]
+        if sampled:
+            n, sketch = sampled
+            # The second part is for shares so small that a sample has only a few values there.
+            chance = DEVIATIONS * math.sqrt(p * (1 - p) / n) + DEVIATIONS ** 2 / n if n < stats["n"] else 0
+            wide = chance + 2 / SLOTS + 2 / n
+            pick = next((j for j, m in enumerate(margins) if m >= wide), None)
+            if pick is not None:
+                place = 2 * (k * len(margins) + pick)
+                # The ends of the column may lie outside those of the sample.
+                lo = sketch[place] if p - margins[pick] > 0 else lo
+                hi = sketch[place + 1] if p + margins[pick] < 1 else hi
         if found and lo <= found[-1].hi:
             found[-1].hi = max(found[-1].hi, hi)
         else:
@@ -153,14 +172,14 @@ def _select(rest: DataFrame, wanted: set[tuple[int, int, int]]) -> dict[tuple[in
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    stats: Mapping[str, Row] | None = None) -> dict[str, list[float] | None]:
+                    stats: Mapping[str, Mapping] | None = None) -> dict[str, list[float] | None]:
     """Quantiles per column, interpolated linearly; None for a column without values.
 
-    Nulls and NaN are ignored. ``stats`` has the ``sketch_columns`` of each column that has
+    Nulls and NaN are ignored. ``stats`` has the ``spread_columns`` of each column that has
     values, where another aggregate has taken them already.
     """
     if stats is None:
-        rows = unpivot(df, columns).groupBy("i").agg(*sketch_columns(probabilities)).collect()
+        rows = unpivot(df, columns).groupBy("i").agg(*spread_columns()).collect()
         stats = {columns[r["i"]]: r for r in rows}
     known: dict[tuple[int, int], float] = {}      # (column, rank) -> value
     ranks: dict[int, set[int]] = {}
@@ -172,7 +191,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         ranks[i] = {at for p in probabilities for at in _ranks(s["n"], p)} - {0, s["n"] - 1}
         if s["lo"] == s["hi"]:
             known |= {(i, at): s["lo"] for at in ranks.pop(i)}
-    brackets = [b for i in ranks if ranks[i] for b in _bracketed(i, stats[columns[i]], probabilities)]
+    brackets = []
+    if wide := [i for i in ranks if ranks[i]]:
+        sampled = _sketches(df, columns, probabilities, SAMPLE / max(stats[columns[i]]["n"] for i in wide))
+        brackets = [b for i in wide for b in _bracketed(i, stats[columns[i]], sampled.get(i), probabilities)]
     while brackets:
         rest = _inside(df, columns, brackets)
         _count(rest, brackets)
@@ -188,7 +210,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
                 wanted.add(place)
                 at_rank[place] = (i, at)
         known |= {at_rank[place]: v for place, v in _select(rest, wanted).items()}
-        # A sketch within its bound holds every rank; a column whose sketch wasn't is taken whole.
+        # A column of which a bracket missed its rank is taken whole.
         brackets = [_Bracket(i, stats[columns[i]]["lo"], stats[columns[i]]["hi"]) for i in missed]
 
     def value(i: int, n: int, p: float) -> float:

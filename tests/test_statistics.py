@@ -64,9 +64,10 @@ def spread_values(kind, n=2000):
 
 
 @pytest.mark.parametrize("kind", ["log", "infinite", "one in three", "nested", "few"])
-@pytest.mark.parametrize("slots", [50, 2000])
-def test_two_passes_however_the_values_are_spread(spark, monkeypatch, kind, slots):
+@pytest.mark.parametrize("slots, sample", [(50, 1 << 18), (2000, 1 << 18), (2000, 600)])
+def test_three_passes_however_the_values_are_spread(spark, monkeypatch, kind, slots, sample):
     monkeypatch.setattr(quantiles, "SLOTS", slots)
+    monkeypatch.setattr(quantiles, "SAMPLE", sample)
     passes = []
     unpivot = quantiles.unpivot
     monkeypatch.setattr(quantiles, "unpivot", lambda *a: passes.append(a) or unpivot(*a))
@@ -74,7 +75,7 @@ def test_two_passes_however_the_values_are_spread(spark, monkeypatch, kind, slot
     df = spark.createDataFrame([(v, -i) for i, v in enumerate(values)], "x DOUBLE, y LONG").repartition(6)
     shares = [0.0, 0.001, 0.2, 0.25, 0.5, 0.9, 0.999, 1.0]
     got = quantiles.exact_quantiles(df, ["x", "y"], shares)
-    assert len(passes) == 2
+    assert len(passes) == 3
     for column, data in (("x", values), ("y", [-float(i) for i in range(len(values))])):
         ranked = sorted(data)
         for p, v in zip(shares, got[column]):
@@ -84,11 +85,12 @@ def test_two_passes_however_the_values_are_spread(spark, monkeypatch, kind, slot
             assert v == want or math.isclose(v, want, rel_tol=1e-12) or (math.isnan(v) and math.isnan(want))
 
 
-def test_a_sketch_out_of_its_bound_costs_a_pass_not_the_result(spark):
+def test_a_sample_that_misses_costs_a_pass_not_the_result(spark, monkeypatch):
     df = spark.createDataFrame([(float(i),) for i in range(100)], "x DOUBLE")
-    stats = quantiles.unpivot(df, ["x"]).groupBy("i").agg(*quantiles.sketch_columns([0.5])).first()
-    wrong = stats.asDict() | {"sketch": [90.0 + k / 100 for k in range(len(stats["sketch"]))]}
-    assert quantiles.exact_quantiles(df, ["x"], [0.5], {"x": wrong})["x"] == [49.5]
+    monkeypatch.setattr(quantiles, "_sketches", lambda *a: {0: (50, [90.0 + k / 1000 for k in range(100)])})
+    assert quantiles.exact_quantiles(df, ["x"], [0.5])["x"] == [49.5]
+    monkeypatch.setattr(quantiles, "_sketches", lambda *a: {})
+    assert quantiles.exact_quantiles(df, ["x"], [0.25, 0.5])["x"] == [24.75, 49.5]
 
 
 def rfm_star(spark, rows):
