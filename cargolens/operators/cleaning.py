@@ -34,16 +34,18 @@ def canonical_numbers(df: DataFrame, names: list[str] = RAW_NUMERIC_FIELDS) -> D
     return df.withColumns({n: canonical_number(quoted(n)) for n in present(df, names)})
 
 
-def dedupe_rows(df: DataFrame, row_seq: str | None = None) -> DataFrame:
+def dedupe_rows(df: DataFrame, row_seq: str | None = None, copies: str | None = None) -> DataFrame:
     """Keep one copy of equal rows, nulls being equal. Texts are compared as they are: see
     ``canonical_numbers``.
 
-    With ``row_seq`` the copy keeps its lowest row number, i.e. the first one stays.
+    With ``row_seq`` the copy keeps its lowest row number, i.e. the first one stays; ``copies``
+    names a column for how many rows it stands for.
     """
-    if row_seq is None:
+    if row_seq is None and copies is None:
         return df.dropDuplicates()
     keys = [quoted(c) for c in df.columns if c != row_seq]
-    return df.groupBy(*keys).agg(F.min(row_seq).alias(row_seq))
+    kept = [F.min(row_seq).alias(row_seq)] if row_seq else []
+    return df.groupBy(*keys).agg(*kept, *([F.count("*").alias(copies)] if copies else []))
 
 
 def fill_missing(df: DataFrame, numeric: list[str], skip: list[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cargolens.functions import derive
 from cargolens.functions.text import to_int, to_timestamp
@@ -15,15 +15,53 @@ from cargolens.session import stage
 from cargolens.sources import readers, writers
 
 
-def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str]) -> DataFrame:
+class CleaningMetrics:
+    """Counts of one cleaning run, taken by the tasks that store its rows: no pass of their own."""
+
+    def __init__(self) -> None:
+        self.unique, self.filled = Observation(), Observation()
+
+    @staticmethod
+    def missing(df: DataFrame, row_seq: str) -> Column:
+        cells = [F.when(cleaning.quoted(c).isNull(), 1).otherwise(0) for c in df.columns if c != row_seq]
+        return F.coalesce(F.sum(sum(cells[1:], cells[0])), F.lit(0))
+
+    def of_unique(self, df: DataFrame, row_seq: str, copies: str) -> DataFrame:
+        """Above the merging of equal rows, so in the tasks that write."""
+        own = df.drop(copies)
+        return df.observe(self.unique, F.coalesce(F.sum(copies), F.lit(0)).alias("rows_before"),
+                          F.count("*").alias("unique"), self.missing(own, row_seq).alias("missing_before"))
+
+    def of_filled(self, df: DataFrame, row_seq: str) -> DataFrame:
+        return df.observe(self.filled, F.count("*").alias("rows_after"),
+                          self.missing(df, row_seq).alias("missing_after"))
+
+    def values(self, raw: DataFrame) -> list[tuple[str, int]]:
+        """After the rows have been stored: (metric, value), with the columns of the extract."""
+        columns, dropped = len(raw.columns) - 1, len(cleaning.present(raw, DROPPED_COLUMNS))
+        found = {**self.unique.get, **self.filled.get}
+        found |= {"duplicate_rows": found["rows_before"] - found["unique"], "columns_before": columns,
+                  "columns_dropped": dropped, "columns_after": columns - dropped}
+        return [(m, int(found[m])) for m in METRICS]
+
+
+METRICS = ["rows_before", "rows_after", "duplicate_rows", "missing_before", "missing_after",
+           "columns_before", "columns_dropped", "columns_after"]
+
+
+def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str],
+                   metrics: CleaningMetrics | None = None) -> DataFrame:
     """Unused columns off, timestamps read, equal rows merged. Defines row identity.
 
     Stored once: filling the dates reads these rows in three branches, and the row
     numbers of the scan must be the same in each.
     """
     slim = cleaning.drop_columns(raw, DROPPED_COLUMNS)
-    dated = cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats)
-    return stage(cleaning.dedupe_rows(cleaning.canonical_numbers(dated), row_seq), "orders_unique")
+    dated = cleaning.canonical_numbers(cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats))
+    if metrics is None:
+        return stage(cleaning.dedupe_rows(dated, row_seq), "orders_unique")
+    merged = cleaning.dedupe_rows(dated, row_seq, "_copies")
+    return stage(metrics.of_unique(merged, row_seq, "_copies").drop("_copies"), "orders_unique")
 
 
 def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
@@ -54,14 +92,17 @@ def derive_orders(rows: DataFrame) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame, row_seq: str = "row_seq",
-                 formats: list[str] = cleaning.DATE_FORMATS,
-                 money_type: str = "double") -> DataFrame:
+                 formats: list[str] = cleaning.DATE_FORMATS, money_type: str = "double",
+                 metrics: CleaningMetrics | None = None) -> DataFrame:
     """Typed, complete, derived order lines.
 
     ``row_seq`` numbers the rows of ``raw`` (see ``with_row_seq``); it decides which date
-    fills a gap and which row of a key comes first, and stays in the output.
+    fills a gap and which row of a key comes first, and stays in the output. ``metrics`` gets its
+    counts when the lines are stored.
     """
-    rows = fill_orders(prepare_orders(raw, row_seq, formats), row_seq)
+    rows = fill_orders(prepare_orders(raw, row_seq, formats, metrics), row_seq)
+    if metrics:
+        rows = metrics.of_filled(rows, row_seq)
     rows = cleaning.coerce_numbers(cleaning.standardize_names(rows),
                                    INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS, money_type)
     return derive_orders(rows)
@@ -106,53 +147,40 @@ def quality_report(raw: DataFrame, row_seq: str = "row_seq",
                    formats: list[str] = cleaning.DATE_FORMATS) -> DataFrame:
     """Metrics of one cleaning run as (metric, value): rows, columns and missing values.
 
-    Three aggregates over the extract and the stored unique rows, each shuffling a single
-    row per task.
+    The unique rows are counted while they are stored, the filled ones in one pass that keeps
+    nothing. ``run_with_metrics`` gives the same of a run that publishes.
     """
-    def missing(df: DataFrame) -> Column:
-        parts = [F.when(cleaning.quoted(c).isNull(), 1).otherwise(0)
-                 for c in df.columns if c != row_seq]
-        return F.sum(sum(parts[1:], parts[0]))
-
-    unique = prepare_orders(raw, row_seq, formats)
-    filled = fill_orders(unique, row_seq)
-    source = raw.agg(F.struct(F.count("*").alias("n")).alias("a"))
-    before = unique.agg(F.struct(F.count("*").alias("n"), missing(unique).alias("m")).alias("a"))
-    after = filled.agg(F.struct(F.count("*").alias("n"), missing(filled).alias("m")).alias("a"))
-    row = source.select(F.col("a.n").alias("rows_before"), before.scalar().alias("before"),
-                        after.scalar().alias("after"))
-    dropped = len(cleaning.present(raw, DROPPED_COLUMNS))
-    metrics = [
-        ("rows_before", F.col("rows_before")),
-        ("rows_after", F.col("after.n")),
-        ("duplicate_rows", F.col("rows_before") - F.col("before.n")),
-        ("missing_before", F.col("before.m")),
-        ("missing_after", F.col("after.m")),
-        ("columns_before", F.lit(len(raw.columns) - 1)),
-        ("columns_dropped", F.lit(dropped)),
-        ("columns_after", F.lit(len(raw.columns) - 1 - dropped)),
-    ]
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("metric"), value.cast("bigint").alias("value"))
-        for name, value in metrics])).alias("t")).select("t.*")
+    metrics = CleaningMetrics()
+    filled = fill_orders(prepare_orders(raw, row_seq, formats, metrics), row_seq)
+    metrics.of_filled(filled, row_seq).write.format("noop").mode("overwrite").save()
+    return raw.sparkSession.createDataFrame(metrics.values(raw), "metric STRING, value BIGINT")
 
 
-def run(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target: str,
-        formats: list[str] = cleaning.DATE_FORMATS, money_type: str = "double",
-        web_limit: int | None = None) -> dict[str, str]:
-    """Raw CSV files to published star tables; returns the path of each table.
+def run_with_metrics(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target: str,
+                     formats: list[str] = cleaning.DATE_FORMATS, money_type: str = "double",
+                     web_limit: int | None = None) -> tuple[dict[str, str], dict[str, int]]:
+    """Raw CSV files to published star tables; returns the path of each table and the metrics of
+    the cleaning.
 
     The cleaned lines are stored, so that the tables split off them do not each repeat the
-    cleaning. ``web_limit`` cuts the web log to its leading rows by time. The dictionary is
-    optional.
+    cleaning, and counted while they are. ``web_limit`` cuts the web log to its leading rows by
+    time. The dictionary is optional.
     """
     described = readers.read_dictionary(spark, dictionary)
     raw = readers.with_row_seq(readers.read_orders(spark, orders))
-    clean = stage(clean_orders(raw, formats=formats, money_type=money_type), "orders_clean")
+    metrics = CleaningMetrics()
+    clean = stage(clean_orders(raw, formats=formats, money_type=money_type, metrics=metrics), "orders_clean")
     hits = clean_weblogs(readers.read_weblogs(spark, weblogs), formats)
     if web_limit is not None:
         hits = writers.first_rows(hits, ["date", "product", "ip", "url"], web_limit)
     tables = build_star(clean, hits)
     if described is not None:
         tables["data_dictionary"] = data_dictionary(described)
-    return writers.publish_star(tables, target)
+    return writers.publish_star(tables, target), dict(metrics.values(raw))
+
+
+def run(spark: SparkSession, orders: str, weblogs: str, dictionary: str, target: str,
+        formats: list[str] = cleaning.DATE_FORMATS, money_type: str = "double",
+        web_limit: int | None = None) -> dict[str, str]:
+    """``run_with_metrics`` for those who only want the tables."""
+    return run_with_metrics(spark, orders, weblogs, dictionary, target, formats, money_type, web_limit)[0]

@@ -1,8 +1,12 @@
+import math
 import random
+import re
+from decimal import Decimal
 
 import pandas as pd
 import pytest
 
+from cargolens.functions import text
 from cargolens.operators import cleaning
 from cargolens.operators.forward_fill import forward_fill
 from cargolens.plans import pipeline
@@ -76,3 +80,35 @@ def test_equal_numbers_in_other_spellings_are_equal_rows(spark):
     rows = cleaning.dedupe_rows(cleaning.canonical_numbers(df), "row_seq").orderBy("row_seq").collect()
     assert [(r["Order Item Quantity"], r["Sales"], r["row_seq"]) for r in rows] == [
         ("7", "1.5", 1), ("7x", "1.5", 4), ("0", None, 5)]
+
+
+SPELLINGS = ["7", "7.0", "+7", "007", "7.", "7.00", " 7 ", "7e0", "70e-1", "-7", "-7.0", "-07", "0", "-0", "0.0", "+0.",
+             ".5", "0.5", "5e-1", "0.50", "1e400", "-1e400", "1e-3", "0.001", "0.0010", "1.0E-3", "1e7", "10000000",
+             "1.0E7", "12345678.25", "1.234567825E7", "123.45", "123.450", "9007199254740993", "9007199254740992",
+             "9007199254740993.0", "1d", "1f", "NaN", "nan", "Infinity", "inf", "", "x", "1,5", "1.2.3", "0x10",
+             "99999999999999999999", "099999999999999999999", "1_0", "e5", "4.9E-324", "1.5", "15e-1"]
+
+
+def test_equal_numbers_have_one_spelling_and_others_stay(spark, evaluate):
+    number = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?")
+    got = dict(zip(SPELLINGS, evaluate(text.canonical_number, SPELLINGS, "STRING")))
+    for a in SPELLINGS:
+        if not number.fullmatch(a.strip(" ")) or "400" in a:
+            assert got[a] == a
+            continue
+        for b in SPELLINGS:
+            if number.fullmatch(b.strip(" ")) and "400" not in b:
+                assert (got[a] == got[b]) == (Decimal(a.strip()) == Decimal(b.strip())), (a, b)
+    assert (got["7.0"], got["0.50"], got["-0"], got["1.0E7"]) == ("7", "0.5", "0", got["10000000"])
+
+
+def test_number_beyond_double_stays_what_it_was(spark, evaluate):
+    assert evaluate(lambda c: text.to_float(text.canonical_number(c)), ["1e400", "-1e400", "1e5"], "STRING") == \
+        evaluate(text.to_float, ["1e400", "-1e400", "1e5"], "STRING") == [math.inf, -math.inf, 1e5]
+
+
+def test_copies_are_counted(spark):
+    df = spark.createDataFrame([(1, None, 10), (1, None, 7), (2, "a", 9)], "x INT, y STRING, row_seq BIGINT")
+    kept = {r["x"]: (r["row_seq"], r["n"]) for r in cleaning.dedupe_rows(df, "row_seq", "n").collect()}
+    assert kept == {1: (7, 2), 2: (9, 1)}
+    assert sorted(r["n"] for r in cleaning.dedupe_rows(df.drop("row_seq"), copies="n").collect()) == [1, 2]

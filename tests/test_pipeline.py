@@ -188,3 +188,12 @@ def test_stages_can_be_cleared(spark, monkeypatch):
     session.clear_stages(spark)
     path = spark._jvm.org.apache.hadoop.fs.Path(base + "-other")
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and kept.count() == 3
+
+
+def test_a_run_reports_what_it_has_done(spark, extracts):
+    paths, metrics = pipeline.run_with_metrics(
+        spark, str(extracts / "orders.csv"), str(extracts / "web.csv"), str(extracts / "dictionary.csv"),
+        str(extracts / "measured"))
+    raw = readers.with_row_seq(readers.read_orders(spark, str(extracts / "orders.csv")))
+    assert metrics == {r["metric"]: r["value"] for r in pipeline.quality_report(raw).collect()}
+    assert metrics["rows_after"] == spark.read.parquet(paths["fact_orders"]).count() == 3
