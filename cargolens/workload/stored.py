@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolens.operators import conform, star as model
+from cargolens.operators import cleaning, conform, star as model
 from cargolens.operators.first_row import first_row_per_key
+from cargolens.operators.pruning import on_days
 from cargolens.plans import operations, pipeline, reach, spans
 from cargolens.session import own_dir, stage
 from cargolens.sources import bucketed, readers, refresh, writers
@@ -45,6 +46,18 @@ def first_rows(key: str, *columns: str) -> Query:
     return run
 
 
+# --- equality by value ------------------------------------------------------------
+
+def dedupe_by_value(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that come twice, the second time with a quantity of other spelling: ``7.0`` for ``7``."""
+    rows = proxy.raw_orders(spark, path, numbered=True)
+    spelled = F.when(F.col("row_seq") % 2 == 1, F.concat(F.lit("+0"), "`Order Item Quantity`", F.when(
+        F.instr("`Order Item Quantity`", ".") == 0, ".00").otherwise("0")))
+    rows = rows.withColumn("Order Item Quantity", F.coalesce(spelled, "`Order Item Quantity`"))
+    rows = rows.select("`Order Id`", "`Order Item Id`", "`Product Card Id`", "`Order Item Quantity`")
+    return cleaning.standardize_names(cleaning.dedupe_rows(cleaning.canonical_numbers(rows), copies="copies"))
+
+
 # --- buckets ----------------------------------------------------------------------
 
 ORDER_FACT = ["order_id", "order_item_id", "product_card_id", "sales", "late_delivery_risk",
@@ -71,6 +84,20 @@ def bucketed_shipping_mode(spark: SparkSession, path: str) -> DataFrame:
     return rounded(operations.shipping_mode_performance(order_star(spark, path)))
 
 
+# --- pruning by the calendar ------------------------------------------------------
+
+def quarter_of_partitions(spark: SparkSession, path: str, quarter: str = "FY1997-Q2") -> DataFrame:
+    """Sales of a fiscal quarter by month, from the fact stored by year and month."""
+    base = own_dir(spark, "partitioned")
+    fact = proxy.star(spark, path).fact(["order_id", "order_date_dateorders", "sales", "order_item_quantity",
+                                         "order_year", "order_month"])
+    stored = writers.publish_star({"fact_orders": fact}, base)["fact_orders"]
+    days = proxy.calendar(spark, path).where(F.col("fiscal_quarter") == quarter)
+    rows = on_days(spark.read.schema(fact.schema).parquet(stored), days)
+    return rounded(rows.groupBy("order_year", "order_month").agg(
+        F.count("*").alias("lines"), F.sum("sales").alias("sales")))
+
+
 # --- spans of days ----------------------------------------------------------------
 
 def span(groups: tuple[str, ...] = (), **choice) -> Query:
@@ -121,8 +148,10 @@ QUERIES: dict[str, Query] = {
     "first_customer": first_rows("customer_id", "market", "customer_city", "customer_segment"),
     "first_product": first_rows("product_card_id", "product_price", "product_name"),
     "first_order": first_rows("order_id", "order_region", "shipping_mode", "delivery_status"),
+    "dedupe_by_value": dedupe_by_value,
     "bucketed_order_join": bucketed_order_join,
     "bucketed_shipping_mode": bucketed_shipping_mode,
+    "quarter_of_partitions": quarter_of_partitions,
     "span_total": span(),
     "span_by_market": span(("market",), first="1996-03-15", last="1998-10-02"),
     "span_by_market_year": span(("market",), grain="year"),

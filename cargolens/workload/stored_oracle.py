@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cargolens.workload.oracle import (CALENDAR, DELAY, LATE, NUDGE, ORDERS, STATUS_GROUP, WAREHOUSE_NAMES,
-                                       first_row, risk, web, wide)
+from cargolens.workload.oracle import (CALENDAR, DELAY, LATE, NUDGE, ORDERS, RAW, STATUS_GROUP,
+                                       WAREHOUSE_NAMES, first_row, risk, web, wide)
 
 
 def span(by: str = "", where: str = "TRUE", period: str = "") -> str:
@@ -29,10 +29,17 @@ SQL: dict[str, str] = {
     "first_order": wide("", first_row("order_id", """order_id,
   order_region || '/' || (order_item_id % 10) AS order_region,
   shipping_mode || '/' || order_item_quantity AS shipping_mode, delivery_status""")),
+    "dedupe_by_value": wide("""SELECT CAST(order_id AS VARCHAR) AS order_id,
+  CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(product_card_id AS VARCHAR) AS product_card_id,
+  CAST(order_item_quantity AS VARCHAR) AS order_item_quantity, count(*) AS copies
+  FROM r GROUP BY ALL""", RAW.strip()),
     "bucketed_order_join": wide(f"""SELECT order_id, order_item_id, product_card_id, sales, shipping_mode,
   order_country, {STATUS_GROUP} AS status_group FROM w"""),
     "bucketed_shipping_mode": wide(f"""SELECT shipping_mode, {ORDERS},
   round({LATE}, 6) AS late_rate_pct, {DELAY}, {risk(LATE, 50, 30)} FROM w GROUP BY shipping_mode"""),
+    "quarter_of_partitions": wide("""SELECT CAST(year(day) AS INTEGER) AS order_year,
+  CAST(month(day) AS INTEGER) AS order_month, count(*) AS lines, round(sum(sales), 2) AS sales
+  FROM w WHERE year(day) = 1997 AND quarter(day) = 2 GROUP BY 1, 2"""),
     "span_total": span(),
     "span_by_market": span("market", "day BETWEEN DATE '1996-03-15' AND DATE '1998-10-02'"),
     "span_by_market_year": span("market", period="CAST(date_trunc('year', day) AS DATE) AS period"),

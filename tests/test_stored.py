@@ -9,12 +9,13 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cargolens.operators import bitmaps
+from cargolens.operators import bitmaps, star as model
 from cargolens.operators.first_row import first_row_per_key
+from cargolens.operators.pruning import on_days
 from cargolens.operators.star import Star
 from cargolens.plans import reach, spans
 from cargolens.session import own_dir
-from cargolens.sources import bucketed, refresh
+from cargolens.sources import bucketed, refresh, writers
 from cargolens.workload import registry, stored, stored_oracle
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -132,6 +133,47 @@ def test_a_bucketed_table_can_be_written_again(spark):
     assert bucketed.read_bucketed(spark, path, layout, fact.schema).count() == 0
 
 
+# --- pruning ----------------------------------------------------------------------
+
+def files_read(df):
+    """Numbers of files that the scans of a collected frame have opened."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().executedPlan()
+
+    def scans(node):
+        if "QueryStage" in node.getClass().getSimpleName():
+            return scans(node.plan())
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        found = [f for child in children for f in scans(child)]
+        metric = node.metrics().get("numFiles")
+        return found + ([metric.get().value()] if metric.isDefined() else [])
+    return scans(leaves)
+
+
+def test_a_calendar_filter_opens_only_its_partitions(spark):
+    rows = [(i, dt.datetime(2016 + i // 12 % 3, 1 + i % 12, 1 + i % 28, 5), 2016 + i // 12 % 3, 1 + i % 12, 1.0)
+            for i in range(2000)]
+    rows.append((9999, None, None, None, 1.0))
+    fact = spark.createDataFrame(rows, "order_id BIGINT, order_date_dateorders TIMESTAMP_NTZ, order_year INT, "
+                                       "order_month INT, sales DOUBLE")
+    base = own_dir(spark, "pruned")
+    stored = writers.publish_star({"fact_orders": fact}, base)["fact_orders"]
+    partitions = len(list(Path(stored).glob("order_year=*/order_month=*")))
+    days = model.calendar_between(spark, "2016-01-01", "2018-12-31")
+    for condition, months in (("fiscal_quarter = 'FY2017-Q2'", 3), ("year_month = '2018-05'", 1),
+                              ("date = DATE '2016-03-03'", 1), ("fiscal_quarter = 'none'", 0)):
+        chosen = days.where(condition)
+        got = on_days(spark.read.schema(fact.schema).parquet(stored), chosen)
+        assert "dynamicpruning" in plan_of(got)
+        read = sum(files_read(got))
+        wanted = {r["date"] for r in chosen.collect()}
+        assert sorted(r["order_id"] for r in got.collect()) == sorted(
+            r[0] for r in rows if r[1] and r[1].date() in wanted)
+        opened = sum(len(list(Path(stored).glob(f"order_year={y}/order_month={m}/*.parquet")))
+                     for y, m in {(d.year, d.month) for d in wanted})
+        assert read <= opened and months < partitions and (months == 0) == (opened == 0)
+
+
 # --- bitmaps ----------------------------------------------------------------------
 
 def test_bitmaps_count_and_unite_exactly(spark):
