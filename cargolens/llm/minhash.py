@@ -8,7 +8,7 @@ Pairs that may reach the threshold are confirmed on the full shingle sets.
 Buckets are not expanded into pairs. Each bucket is compared with its hub, the member that
 shares most buckets with others, and linked members need no further test among themselves. What
 lies outside the hub's component then meets the rest around that hub through an index of the
-shingles in which each text differs from the hub.
+first shingles of each text, those first that the hub lacks.
 """
 
 from __future__ import annotations
@@ -215,14 +215,14 @@ def _hub_pairs(rows: DataFrame) -> DataFrame:
 def _remaining(hub_pairs: DataFrame, labels: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     """Pairs around one hub that lie in different components and may reach the threshold.
 
-    Let D(X) be the shingles in which X and the hub differ. Two texts differ in D(A) and D(B) less
-    what these share, twice; so a link between A and B asks for at least
-    ((D(A) - c A) + (D(B) - c B)) / 2 shared members, in sizes and with c = (1 - s) / (1 + s). One
-    of the two isn't linked with the hub, which makes this positive. So it is enough to compare
-    D(A) and D(B) on their first members in one order, as many as the least overlap leaves open
-    (prefix filter), and a pair that meets late in them is ruled out by what is left (positional
-    filter). Members that the hub lacks come first: edits rarely add the same shingle. Copies of a
-    text with different edits thus hardly ever meet, however many there are.
+    Two texts of sizes A and B link if they share p / (100 + p) of A + B shingles. In one order of the
+    shingles, the same for all texts around a hub, they then meet within their first ones, as many
+    as that overlap leaves open (prefix filter), and a pair that meets late in them is ruled out by
+    what is left (positional filter). The order puts shingles that the hub lacks before the hub's own: a
+    text that isn't linked with the hub has more of the former than its prefix is long, or nearly,
+    and edits rarely add the same shingle. Copies of a text with different edits thus hardly ever
+    meet, however many there are. At least one of the two isn't linked with the hub; sizes are bounded
+    by those that occur around it.
     """
     def label(column: str) -> DataFrame:
         return labels.select(F.col("node").alias(column), F.col("component").alias(f"own_{column}"))
@@ -234,29 +234,27 @@ def _remaining(hub_pairs: DataFrame, labels: DataFrame, sets: DataFrame, plan: P
     pairs = stage(pairs, "minhash-around")
     open_hubs = (pairs.groupBy("hub").agg(F.count_if("outside").alias("r"), F.count("*").alias("n"))
                  .where("r > 0 AND n > 1").select("hub"))
-    up, down = 100 + plan.percent, 100 - plan.percent
-    around = (pairs.join(open_hubs, "hub").join(sets.withColumnRenamed("shingles", "s"), "node")
-              .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h")), "hub")
-              .select("hub", "node", "own", "outside", F.size("s").alias("n"),
-                      F.concat(F.array_sort(F.array_except("s", "h")),
-                               F.array_sort(F.array_except("h", "s"))).alias("differs"))
-              .withColumn("excess", up * F.size("differs") - down * F.col("n")))
-    around = stage(around, "minhash-around")
-    least = around.groupBy("hub").agg(F.min("excess").alias("least"), F.min(
-        F.when(F.col("outside"), F.col("excess"))).alias("least_outside"))
-    shared = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.when(F.col("outside"), F.col("least"))
-                                          .otherwise(F.col("least_outside"))) / (2 * up)))
-    first = F.greatest(F.lit(0), F.size("differs") - shared.cast("int") + 1)
-    entries = (around.join(least, "hub")
-               .select("hub", "node", "own", "outside", "excess", F.size("differs").alias("size"),
-                       F.posexplode(F.slice("differs", F.lit(1), first)).alias("at", "shingle")))
+    around = stage(pairs.join(open_hubs, "hub").join(sets.select("node", F.size("shingles").alias("n")), "node")
+                   .select("hub", "node", "own", "outside", "n"), "minhash-around")
+    least = around.groupBy("hub").agg(F.min("n").alias("least"), F.min(
+        F.when(F.col("outside"), F.col("n"))).alias("least_outside"))
+    both, part = F.lit(100 + plan.percent), F.lit(plan.percent)
+    partner = F.greatest(F.ceil(part * F.col("n") / 100),
+                         F.when(F.col("outside"), F.col("least")).otherwise(F.col("least_outside")))
+    shared = F.ceil(part * (F.col("n") + partner) / both)
+    first = F.greatest(F.lit(0), F.col("n") - shared.cast("int") + 1)
+    entries = (around.join(least, "hub").join(sets.withColumnRenamed("shingles", "s"), "node")
+               .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h")), "hub")
+               .select("hub", "node", "own", "outside", "n", F.posexplode(F.slice(
+                   F.concat(F.array_sort(F.array_except("s", "h")), F.array_sort(F.array_intersect("s", "h"))),
+                   F.lit(1), first)).alias("at", "shingle")))
     entries = stage(entries, "minhash-prefixes")
     other = entries.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in (
-        "node", "own", "outside", "excess", "size", "at")])
+        "node", "own", "outside", "n", "at")])
     # What two can still share from their first shared shingle on must reach the pair's own least
     # overlap. Of two outsiders the smaller one asks.
-    left = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b"))
-    enough = 2 * up * left >= F.col("excess") + F.col("excess_b")
+    left = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+    enough = both * left >= part * (F.col("n") + F.col("n_b"))
     return (entries.where("outside").join(other, ["hub", "shingle"])
             .where(enough & F.expr("own <> own_b AND (NOT outside_b OR node < node_b)"))
             .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cargolens.llm import minhash
 from cargolens.llm.components import components
 from cargolens.llm.minhash import Plan, estimated_similarity, near_dedup, near_duplicates, unequal_low_bits
 
@@ -136,3 +137,35 @@ def test_components_of_paths_stars_and_cycles(spark):
            components(spark.createDataFrame(links, "a LONG, b LONG")).collect()}
     assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1300)},
                    **{i: 2000 for i in range(2000, 2003)}}
+
+
+def variants(n, seed):
+    """Texts with up to six of thirty words changed: most aren't linked with their origin."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(100)}" for _ in range(30)]
+    out = set()
+    while len(out) < n:
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(30)] = f"w{rng.randrange(100)}"
+        out.add(" ".join(words))
+    return sorted(out)
+
+
+def test_candidates_around_a_hub_stay_few(spark, monkeypatch):
+    """Fewer candidates than rows around hubs, though most texts lie outside their hub's component."""
+    remaining = minhash._remaining
+    for n in (150, 300, 600):
+        seen = []
+
+        def counted(*arguments):
+            pairs = remaining(*arguments)
+            seen.append((arguments[0].count(), pairs.count()))
+            return pairs
+        monkeypatch.setattr(minhash, "_remaining", counted)
+        texts = variants(n, n)
+        plan = Plan(shingle=2)
+        got = near_duplicates(corpus(spark, texts), plan).orderBy("doc_id").collect()
+        assert [tuple(r) for r in got] == expected(texts, plan)
+        ((around, pairs),) = seen
+        assert around >= n and pairs <= around
