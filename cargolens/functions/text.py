@@ -52,21 +52,16 @@ def to_timestamp(c: Column, formats: list[str]) -> Column:
 
 def canonical_number(text: Column) -> Column:
     """One spelling for equal numbers: whole ones without sign, zeros or point in excess, others, and
-    those with an exponent from 9e15 on, as DOUBLE prints them. What isn't a number stays as it is,
-    a number beyond DOUBLE too.
-
-    Text that a cast there and back doesn't change has its spelling already. Two casts find that
-    out for nearly all text; the patterns are for the rest.
+    those with an exponent from 9e15 on, as DOUBLE prints them. What isn't a number stays as it is, a
+    number beyond DOUBLE too. Casts come after the patterns: one that fails costs an exception.
     """
     plain = F.trim(text)
-    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
     whole = F.regexp_replace(F.regexp_replace(plain, r"\.0*$", ""), r"^\+?(-?)0+(?=\d)|^\+", "$1")
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
     value = plain.try_cast("double")
-    printed = text.try_cast("double").cast("string")
-    spelled = F.when((value == F.floor(value)) & (F.abs(value) < 9e15), value.cast("bigint").cast("string"))
-    return (F.when(text.try_cast("bigint").cast("string") == text, text)
-            .when((printed == text) & ~text.endswith(".0") & ~text.contains("E"), text)
-            .when(plain.rlike(r"^[+-]?0+(\.0*)?$"), "0")
+    printed = (F.when(F.abs(value) == float("inf"), text)
+               .when((value == F.floor(value)) & (F.abs(value) < 9e15), value.cast("bigint").cast("string"))
+               .otherwise(value.cast("string")))
+    return (F.when(plain.rlike(r"^[+-]?0+(\.0*)?$"), "0")
             .when(plain.rlike(r"^[+-]?\d+(\.0*)?$"), whole)
-            .when(plain.rlike(number) & (F.abs(value) < float("inf")), F.coalesce(spelled, value.cast("string")))
-            .otherwise(text))
+            .when(plain.rlike(number), printed).otherwise(text))
