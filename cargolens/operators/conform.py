@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from cargolens.schemas import WAREHOUSE_FACT_NAMES, WAREHOUSE_WEBLOG_NAMES
 
 
-def drop_any_case(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.lower() in names])
-
-
 def conform_date(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"date": "DateKey"}).withColumn(
         "DateKey", F.col("DateKey").cast("date"))
@@ -21,11 +17,11 @@ def conform_customer(df: DataFrame) -> DataFrame:
 
 
 def conform_product(df: DataFrame) -> DataFrame:
-    return drop_any_case(df, "product_category_id")
+    return df.drop("product_category_id")
 
 
 def conform_order(df: DataFrame) -> DataFrame:
-    return drop_any_case(df.withColumnsRenamed({"type": "Transaction_Type"}), "order_customer_id")
+    return df.withColumnsRenamed({"type": "Transaction_Type"}).drop("order_customer_id")
 
 
 def conform_fact(df: DataFrame) -> DataFrame:
@@ -36,7 +32,7 @@ def conform_fact(df: DataFrame) -> DataFrame:
 
 
 def conform_weblogs(df: DataFrame) -> DataFrame:
-    return drop_any_case(df.withColumnsRenamed(WAREHOUSE_WEBLOG_NAMES), "month")
+    return df.withColumnsRenamed(WAREHOUSE_WEBLOG_NAMES).drop("month")   # in any case of letters
 
 
 def conform(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

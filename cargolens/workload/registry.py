@@ -264,17 +264,20 @@ def conform_date(spark: SparkSession, path: str) -> DataFrame:
     return conform.conform_date(proxy.calendar(spark, path)).select("DateKey", "year_month")
 
 
-def dictionary(spark: SparkSession, path: str) -> DataFrame:
+def raw_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """A dictionary extract with one row per part: known field names for most parts, the
     part's name for the others, with the stray blanks and colons of such files."""
     names = F.array(*[F.lit(name) for name, _ in FIELD_TABLES])
     slot = F.length("p_name") + F.col("p_size")
     field = F.when(slot <= len(FIELD_TABLES), names[slot - 1]).otherwise(F.col("p_name"))
-    raw = proxy.table(spark, path, "part").select(
+    return proxy.table(spark, path, "part").select(
         F.concat(F.lit("  "), field, F.lit(" ")).alias("Field"),
         F.concat(F.lit(" : "), F.col("p_type"), F.lit(" of "), F.col("p_brand"), F.lit(" "))
         .alias("Description"))
-    return data_dictionary(raw)
+
+
+def dictionary(spark: SparkSession, path: str) -> DataFrame:
+    return data_dictionary(raw_dictionary(spark, path))
 
 
 def star_join(spark: SparkSession, path: str) -> DataFrame:

@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolens.operators import cleaning, conform, star as model
+from cargolens.operators.dictionary import data_dictionary
 from cargolens.operators.first_row import first_row_per_key
 from cargolens.operators.pruning import on_days
 from cargolens.plans import operations, pipeline, reach, spans
+from cargolens.schemas import FLOAT_COLUMNS, INFERRED_INT_COLUMNS, INT_COLUMNS, RAW_NUMERIC_FIELDS
 from cargolens.session import own_dir, stage
 from cargolens.sources import bucketed, readers, refresh, writers
 from cargolens.workload import proxy
-from cargolens.workload.registry import rounded
+from cargolens.workload.registry import raw_dictionary, rounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +60,36 @@ def dedupe_by_value(spark: SparkSession, path: str) -> DataFrame:
     return cleaning.standardize_names(cleaning.dedupe_rows(cleaning.canonical_numbers(rows), copies="copies"))
 
 
+# --- extracts as files ------------------------------------------------------------
+
+def dictionary_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The dictionary written as CSV under other headers and read by position."""
+    target = own_dir(spark, "csv/dictionary")
+    (raw_dictionary(spark, path).toDF("FIELDS", "What it is").write.option("header", True)
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(target))
+    return data_dictionary(readers.read_dictionary(spark, target))
+
+
+def odd_headers(spark: SparkSession, path: str) -> DataFrame:
+    """An extract whose columns come in another order, without two of the known ones and with a note
+    that holds commas, quotes and line breaks; cleaned, and derived as far as its columns allow."""
+    target = own_dir(spark, "csv/odd")
+    note = F.concat(F.lit('he said: "'), "`Customer City`", F.lit('",\nthen\n'), "`Order Id`")
+    rows = proxy.raw_orders(spark, path).withColumn(" Order  Note ", note)
+    rows = rows.drop("Days for shipping (real)", "Sales").select(
+        "` Order  Note `", *[f"`{c}`" for c in reversed(rows.columns)
+                             if c not in ("Days for shipping (real)", "Sales", " Order  Note ")])
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(target)
+    read = readers.read_orders(spark, target, multi_line=True)
+    clean = cleaning.standardize_names(cleaning.fill_missing(cleaning.drop_columns(read), RAW_NUMERIC_FIELDS))
+    typed = pipeline.derive_orders(cleaning.coerce_numbers(clean, INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS))
+    # What needs an absent column isn't there, and asking for it is no error.
+    wanted = ["order_id", "order_item_id", "product_card_id", "order_note", "customer_segment", "profit_tier",
+              "discount_tier", "is_fraud", "sales", "net_revenue", "shipping_performance", "customer_email"]
+    return typed.select(cleaning.present(typed, wanted))
+
+
 # --- buckets ----------------------------------------------------------------------
 
 ORDER_FACT = ["order_id", "order_item_id", "product_card_id", "sales", "late_delivery_risk",
@@ -149,6 +181,8 @@ QUERIES: dict[str, Query] = {
     "first_product": first_rows("product_card_id", "product_price", "product_name"),
     "first_order": first_rows("order_id", "order_region", "shipping_mode", "delivery_status"),
     "dedupe_by_value": dedupe_by_value,
+    "dictionary_from_csv": dictionary_from_csv,
+    "odd_headers": odd_headers,
     "bucketed_order_join": bucketed_order_join,
     "bucketed_shipping_mode": bucketed_shipping_mode,
     "quarter_of_partitions": quarter_of_partitions,

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cargolens.workload.oracle import (CALENDAR, DELAY, LATE, NUDGE, ORDERS, RAW, STATUS_GROUP,
-                                       WAREHOUSE_NAMES, first_row, risk, web, wide)
+from cargolens.workload.oracle import (CALENDAR, DELAY, DISCOUNT, LATE, NUDGE, ORDERS, RAW, STATUS_GROUP, TIER,
+                                       WAREHOUSE_NAMES, dictionary, first_row, risk, web, wide)
 
 
 def span(by: str = "", where: str = "TRUE", period: str = "") -> str:
@@ -33,6 +33,11 @@ SQL: dict[str, str] = {
   CAST(order_item_id AS VARCHAR) AS order_item_id, CAST(product_card_id AS VARCHAR) AS product_card_id,
   CAST(order_item_quantity AS VARCHAR) AS order_item_quantity, count(*) AS copies
   FROM r GROUP BY ALL""", RAW.strip()),
+    "dictionary_from_csv": dictionary(),
+    "odd_headers": wide(f"""SELECT order_id, order_item_id, product_card_id,
+  'he said: "' || customer_city || '",' || chr(10) || 'then' || chr(10) || order_id AS order_note,
+  coalesce(segment_raw, 'Unknown') AS customer_segment, {TIER} AS profit_tier, {DISCOUNT} AS discount_tier,
+  is_fraud FROM r""", RAW.strip()),
     "bucketed_order_join": wide(f"""SELECT order_id, order_item_id, product_card_id, sales, shipping_mode,
   order_country, {STATUS_GROUP} AS status_group FROM w"""),
     "bucketed_shipping_mode": wide(f"""SELECT shipping_mode, {ORDERS},
