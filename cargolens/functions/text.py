@@ -62,6 +62,9 @@ def canonical_number(text: Column) -> Column:
     printed = (F.when(F.abs(value) == float("inf"), text)
                .when((value == F.floor(value)) & (F.abs(value) < 9e15), value.cast("bigint").cast("string"))
                .otherwise(value.cast("string")))
-    return (F.when(plain.rlike(r"^[+-]?0+(\.0*)?$"), "0")
+    # Most texts are one of the first two; what they give is what the rules below give.
+    return (F.when(text.rlike(r"^(0|-?[1-9]\d*)$"), text)
+            .when(text.rlike(r"^-?\d{1,6}\.\d{0,8}[1-9]$"), text.try_cast("double").cast("string"))
+            .when(plain.rlike(r"^[+-]?0+(\.0*)?$"), "0")
             .when(plain.rlike(r"^[+-]?\d+(\.0*)?$"), whole)
             .when(plain.rlike(number), printed).otherwise(text))

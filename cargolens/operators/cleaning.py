@@ -48,6 +48,17 @@ def dedupe_rows(df: DataFrame, row_seq: str | None = None, copies: str | None =
     return df.groupBy(*keys).agg(*kept, *([F.count("*").alias(copies)] if copies else []))
 
 
+def digest(df: DataFrame, skip: list[str] = ()) -> list[Column]:
+    """Two hashes of 64 bits that equal rows share and others don't, where a null stands included.
+    They run over the columns in opposite orders, so they don't collide together."""
+    kinds = {c: kind for c, kind in df.dtypes if c not in skip}
+    texts = F.array(*[quoted(c) for c, kind in kinds.items() if kind == "string"])
+    others = [quoted(c) for c, kind in kinds.items() if kind != "string"]
+    # Arrays make short loops, where code for each of fifty columns is too long to be compiled.
+    gaps = F.array(*[quoted(c).isNull() for c in kinds])
+    return [F.xxhash64(texts, *others, gaps), F.xxhash64(gaps, *reversed(others), F.reverse(texts))]
+
+
 def fill_missing(df: DataFrame, numeric: list[str], skip: list[str] = ()) -> DataFrame:
     """Missing numbers become 0 and missing text ``Unknown``.
 

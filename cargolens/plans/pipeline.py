@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cargolens.functions import derive
-from cargolens.functions.text import to_int, to_timestamp
+from cargolens.functions.text import standard_name, to_int, to_timestamp
 from cargolens.operators import cleaning, star
 from cargolens.operators.dictionary import data_dictionary
 from cargolens.operators.forward_fill import forward_fill
@@ -21,20 +21,16 @@ class CleaningMetrics:
     def __init__(self) -> None:
         self.unique, self.filled = Observation(), Observation()
 
-    @staticmethod
-    def missing(df: DataFrame, row_seq: str) -> Column:
-        cells = [F.when(cleaning.quoted(c).isNull(), 1).otherwise(0) for c in df.columns if c != row_seq]
-        return F.coalesce(F.sum(sum(cells[1:], cells[0])), F.lit(0))
-
-    def of_unique(self, df: DataFrame, row_seq: str, copies: str) -> DataFrame:
+    def of_unique(self, marks: DataFrame) -> DataFrame:
         """Above the merging of equal rows, so in the tasks that write."""
-        own = df.drop(copies)
-        return df.observe(self.unique, F.coalesce(F.sum(copies), F.lit(0)).alias("rows_before"),
-                          F.count("*").alias("unique"), self.missing(own, row_seq).alias("missing_before"))
+        return marks.observe(self.unique, F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"),
+                             F.count("*").alias("unique"),
+                             F.coalesce(F.sum("_missing"), F.lit(0)).alias("missing_before"))
 
-    def of_filled(self, df: DataFrame, row_seq: str) -> DataFrame:
-        return df.observe(self.filled, F.count("*").alias("rows_after"),
-                          self.missing(df, row_seq).alias("missing_after"))
+    def of_filled(self, marks: DataFrame, dates: list[str]) -> DataFrame:
+        gaps = F.col("_unfilled") + missing(dates)
+        return marks.observe(self.filled, F.count("*").alias("rows_after"),
+                             F.coalesce(F.sum(gaps), F.lit(0)).alias("missing_after"))
 
     def values(self, raw: DataFrame) -> list[tuple[str, int]]:
         """After the rows have been stored: (metric, value), with the columns of the extract."""
@@ -49,24 +45,49 @@ METRICS = ["rows_before", "rows_after", "duplicate_rows", "missing_before", "mis
            "columns_before", "columns_dropped", "columns_after"]
 
 
+def missing(names: list[str]) -> Column:
+    """Number of nulls in a row."""
+    gaps = F.array(*[cleaning.quoted(c).isNull() for c in names])
+    return F.size(F.filter(gaps, lambda gap: gap)) if names else F.lit(0)
+
+
 def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str],
-                   metrics: CleaningMetrics | None = None) -> DataFrame:
-    """Unused columns off, timestamps read, equal rows merged. Defines row identity.
+                   metrics: CleaningMetrics | None = None) -> tuple[DataFrame, DataFrame]:
+    """Unused columns off, timestamps read, equal rows found. Defines row identity.
 
-    Stored once: filling the dates reads these rows in three branches, and the row
-    numbers of the scan must be the same in each.
+    Returns the rows, copies included, and the marks of the unique ones: number, dates, copies and
+    missing values. Both are stored, so that the row numbers of the scan are the same wherever they
+    are read. Only digests are brought together to find equal rows; the rows themselves, some fifty
+    columns, stay where they are.
     """
     slim = cleaning.drop_columns(raw, DROPPED_COLUMNS)
     dated = cleaning.canonical_numbers(cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats))
-    if metrics is None:
-        return stage(cleaning.dedupe_rows(dated, row_seq), "orders_unique")
-    merged = cleaning.dedupe_rows(dated, row_seq, "_copies")
-    return stage(metrics.of_unique(merged, row_seq, "_copies").drop("_copies"), "orders_unique")
+    rows = stage(dated, "orders_dated", compression="zstd")
+    dates, cells = cleaning.present(rows, RAW_DATE_COLUMNS), [c for c in rows.columns if c != row_seq]
+    first, second = cleaning.digest(rows, [row_seq])
+    marked = rows.withColumns({"_first": first, "_second": second, "_missing": missing(cells)})
+    left = missing([c for c in cells if c not in dates]).alias("_unfilled")
+    marks = fill_orders(marked, row_seq).select(
+        row_seq, *map(cleaning.quoted, dates), "_first", "_second", "_missing", left)
+    # Equal rows have equal dates and gaps, so any of them will do.
+    unique = marks.groupBy("_first", "_second").agg(
+        F.min(row_seq).alias(row_seq), *[F.first(cleaning.quoted(c)).alias(c) for c in dates],
+        F.count("*").alias("_copies"), F.first("_missing").alias("_missing"),
+        F.first("_unfilled").alias("_unfilled")).drop("_first", "_second")
+    return rows, stage(metrics.of_unique(unique) if metrics else unique, "orders_unique")
 
 
 def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
-    filled = cleaning.fill_missing(rows, RAW_NUMERIC_FIELDS, skip=[row_seq])
-    return forward_fill(filled, cleaning.present(filled, RAW_DATE_COLUMNS), row_seq)
+    """Fixed values for missing cells; the dates follow by ``fill_dates``."""
+    return cleaning.fill_missing(rows, RAW_NUMERIC_FIELDS, skip=[row_seq])
+
+
+def fill_dates(unique: DataFrame, row_seq: str, metrics: CleaningMetrics | None = None) -> DataFrame:
+    """Numbers of the unique rows with their dates, gaps filled by the last one before."""
+    dates = cleaning.present(unique, RAW_DATE_COLUMNS)
+    filled = forward_fill(unique, dates, row_seq) if dates else unique
+    filled = metrics.of_filled(filled, dates) if metrics else filled
+    return filled.select(row_seq, *map(cleaning.quoted, dates))
 
 
 def derive_orders(rows: DataFrame) -> DataFrame:
@@ -100,11 +121,14 @@ def clean_orders(raw: DataFrame, row_seq: str = "row_seq",
     fills a gap and which row of a key comes first, and stays in the output. ``metrics`` gets its
     counts when the lines are stored.
     """
-    rows = fill_orders(prepare_orders(raw, row_seq, formats, metrics), row_seq)
-    if metrics:
-        rows = metrics.of_filled(rows, row_seq)
-    rows = cleaning.coerce_numbers(cleaning.standardize_names(rows),
-                                   INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS, money_type)
+    rows, unique = prepare_orders(raw, row_seq, formats, metrics)
+    filled = cleaning.standardize_names(fill_dates(unique, row_seq, metrics))
+    names = cleaning.standardize_names(rows).columns
+    rest = cleaning.standardize_names(fill_orders(rows, row_seq)).drop(
+        *[c for c in filled.columns if c != standard_name(row_seq)])
+    # Numbers before the join: it moves those columns that are asked for, and not as text.
+    typed = cleaning.coerce_numbers(rest, INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS, money_type)
+    rows = typed.join(filled, standard_name(row_seq)).select(*names)
     return derive_orders(rows)
 
 
@@ -147,12 +171,12 @@ def quality_report(raw: DataFrame, row_seq: str = "row_seq",
                    formats: list[str] = cleaning.DATE_FORMATS) -> DataFrame:
     """Metrics of one cleaning run as (metric, value): rows, columns and missing values.
 
-    The unique rows are counted while they are stored, the filled ones in one pass that keeps
-    nothing. ``run_with_metrics`` gives the same of a run that publishes.
+    The marks of the unique rows are counted while they are stored, those with filled dates in one
+    pass that keeps nothing. ``run_with_metrics`` gives the same of a run that publishes.
     """
     metrics = CleaningMetrics()
-    filled = fill_orders(prepare_orders(raw, row_seq, formats, metrics), row_seq)
-    metrics.of_filled(filled, row_seq).write.format("noop").mode("overwrite").save()
+    _, unique = prepare_orders(raw, row_seq, formats, metrics)
+    fill_dates(unique, row_seq, metrics).write.format("noop").mode("overwrite").save()
     return raw.sparkSession.createDataFrame(metrics.values(raw), "metric STRING, value BIGINT")
 
 

@@ -66,7 +66,8 @@ def clear_stages(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, row_group: int | None = None,
+          compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the stored copy.
 
     Used where a plan reads the same rows in several branches and row numbers
@@ -75,9 +76,11 @@ def stage(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
     own below the application's folder; ``clear_stages`` removes that when all is done.
 
     A file is split between tasks at its row groups: ``row_group`` bytes, less than Parquet's usual
-    128 MB, let more tasks read rows that cost much to work on.
+    128 MB, let more tasks read rows that cost much to work on. ``compression`` is Parquet's, snappy
+    if not given; zstd takes less room for wide rows.
     """
     spark = df.sparkSession
     path = own_dir(spark, f"stage/{name}")
-    (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
+    writer = df.write.option("parquet.block.size", row_group) if row_group else df.write
+    (writer.option("compression", compression) if compression else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

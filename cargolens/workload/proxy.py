@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cargolens.functions import derive
 from cargolens.functions.text import standard_name
 from cargolens.operators import star as model
+from cargolens.operators.row_numbers import number_rows
 from cargolens.operators.star import Star
 from cargolens.schemas import RAW_ORDER_FIELDS
-from cargolens.sources.readers import with_row_seq
 
 
 # Declared, so that planning a scan does not first run a job to read file footers.
@@ -254,15 +254,37 @@ WIDE: Columns = {**CUSTOMER, **PRODUCT, **ORDER, **LINE_COLUMNS, **ORDER_LINE_CO
 
 
 def wide(spark: SparkSession, path: str, columns: Sequence[str] = tuple(WIDE)) -> DataFrame:
-    """Unsplit order lines. Every attribute is joined, whatever the caller selects."""
+    """Unsplit order lines. Every attribute is joined, whatever the caller selects.
+
+    Lines are shuffled twice, for the part while they are narrow and for the order; the places
+    meet the orders, of which there are fewer. Lines of an order lie together afterwards.
+    """
+    placed = table(spark, path, "orders").join(
+        _places(spark, path), F.col("o_custkey") == F.col("c_custkey"))
     rows = (table(spark, path, "lineitem")
-            .join(table(spark, path, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(_places(spark, path), F.col("o_custkey") == F.col("c_custkey"))
-            .join(table(spark, path, "part"), F.col("l_partkey") == F.col("p_partkey")))
+            .join(table(spark, path, "part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(placed, F.col("l_orderkey") == F.col("o_orderkey")))
     return pick(rows, columns, WIDE)
 
 
-def raw_orders(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+LINE_BITS = 28  # of a row number, for the lines of one order
+
+
+def numbered(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
+    """``lines`` with ``row_seq``, unique and ascending by order, item and product.
+
+    Only the keys of the orders are sorted by range. The lines of an order lie together after the
+    join that made them, so they are counted where they are and don't move for their numbers.
+    """
+    keys = table(spark, path, "orders").select(F.col("o_orderkey").alias("order_id")).distinct()
+    keys = number_rows(keys.where("order_id is not null"), ["order_id"], "_order")
+    within = Window.partitionBy("order_id").orderBy("order_item_id", "product_card_id")
+    return (lines.withColumn("_place", F.row_number().over(within)).join(keys, "order_id")
+            .withColumn("row_seq", F.shiftleft("_order", LINE_BITS) + F.col("_place"))
+            .drop("_order", "_place"))
+
+
+def raw_orders(spark: SparkSession, path: str, with_number: bool = False) -> DataFrame:
     """Order lines as an untyped extract under the raw headers, with planted dirt:
 
     * order date missing for 3-MEDIUM orders, unreadable for 2-HIGH ones,
@@ -270,12 +292,12 @@ def raw_orders(spark: SparkSession, path: str, numbered: bool = False) -> DataFr
     * segment BUILDING missing, quantity written as "7.0" where the discount is 0.10,
     * lines with number 7 written twice.
 
-    ``numbered`` adds ``row_seq`` in the order of order, item and product. The typed lines
-    are sorted for it, before they are turned into some fifty text columns.
+    ``with_number`` adds ``row_seq`` in the order of order, item and product. The typed lines
+    get it before they are turned into some fifty text columns.
     """
     lines = wide(spark, path)
-    if numbered:
-        lines = with_row_seq(lines, ["order_id", "order_item_id", "product_card_id"])
+    if with_number:
+        lines = numbered(spark, path, lines)
     base = lines.withColumns({
         "latitude": F.lit(None).cast("string"), "longitude": F.lit(None).cast("string"),
         "customer_fname": F.col("customer_city"), "customer_lname": F.lit(None).cast("string"),
@@ -303,10 +325,10 @@ def raw_orders(spark: SparkSession, path: str, numbered: bool = False) -> DataFr
     rows = base.select(*[
         dirty.get(standard_name(f), F.col(standard_name(f)).cast("string")).alias(f)
         for f in RAW_ORDER_FIELDS], (F.col("order_item_id") % 10).alias("_line"),
-        *(["row_seq"] if numbered else []))
+        *(["row_seq"] if with_number else []))
     copies = F.sequence(F.lit(0), F.when(F.col("_line") == 7, 1).otherwise(0))
     rows = rows.withColumn("_copy", F.explode(copies))
-    if numbered:
+    if with_number:
         rows = rows.withColumn("row_seq", F.col("row_seq") * 2 + F.col("_copy"))
     return rows.drop("_line", "_copy")
 

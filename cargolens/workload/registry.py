@@ -289,19 +289,20 @@ def star_join(spark: SparkSession, path: str) -> DataFrame:
 # --- the cleaning pipeline on the dirty extract --------------------------------------
 
 def clean_orders(spark: SparkSession, path: str) -> DataFrame:
-    return rounded(model.fact_orders(pipeline.clean_orders(proxy.raw_orders(spark, path, numbered=True))))
+    return rounded(model.fact_orders(pipeline.clean_orders(proxy.raw_orders(spark, path, with_number=True))))
 
 
 def clean_star(spark: SparkSession, path: str) -> DataFrame:
     """Customer dimension of the cleaned extract: the first row in file order decides."""
-    clean = stage(pipeline.clean_orders(proxy.raw_orders(spark, path, numbered=True)), "clean_orders")
+    clean = pipeline.clean_orders(proxy.raw_orders(spark, path, with_number=True))
+    # Its rows are stored before the last join, so that a table reads the columns it has.
     tables = pipeline.build_star(clean, first_day="1995-01-01", last_day="2001-12-31")
     return tables["dim_customer"].select("customer_id", "customer_segment", "market",
                                          "customer_full_location")
 
 
 def dq_report(spark: SparkSession, path: str) -> DataFrame:
-    return pipeline.quality_report(proxy.raw_orders(spark, path, numbered=True))
+    return pipeline.quality_report(proxy.raw_orders(spark, path, with_number=True))
 
 
 # --- reports ------------------------------------------------------------------------

@@ -52,7 +52,7 @@ def first_rows(key: str, *columns: str) -> Query:
 
 def dedupe_by_value(spark: SparkSession, path: str) -> DataFrame:
     """Lines that come twice, the second time with a quantity of other spelling: ``7.0`` for ``7``."""
-    rows = proxy.raw_orders(spark, path, numbered=True)
+    rows = proxy.raw_orders(spark, path, with_number=True)
     spelled = F.when(F.col("row_seq") % 2 == 1, F.concat(F.lit("+0"), "`Order Item Quantity`", F.when(
         F.instr("`Order Item Quantity`", ".") == 0, ".00").otherwise("0")))
     rows = rows.withColumn("Order Item Quantity", F.coalesce(spelled, "`Order Item Quantity`"))
