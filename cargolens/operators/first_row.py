@@ -26,6 +26,7 @@ def first_row_per_key(df: DataFrame, key: str, columns: list[str],
     if isinstance(order, str):
         first = df.groupBy(key).agg(F.min(order).alias("_first")).select("_first")
         return df.join(first, F.col(order) == F.col("_first"), "left_semi").select(key, *rest)
+    # The rank holds all of the row, so the least rank is the row: it isn't carried a second time.
     rank = F.struct(*order, *[c for c in rest if c not in order])
-    found = df.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
+    found = df.groupBy(key).agg(F.min(rank).alias("_row"))
     return found.select(key, *[F.col("_row")[c].alias(c) for c in rest])

@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# For tables of any size: a shuffle is dealt so finely that no task holds much, and small parts are put
+# together again by their size while the query runs. A fixed small number would make tasks grow with the rows.
+SCALE_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000"}
+
 
 def get_session(app: str = "cargolens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -30,10 +34,13 @@ def get_session(app: str = "cargolens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session created by someone else."""
+def tune(spark: SparkSession, fine: bool = False) -> SparkSession:
+    """Apply the runtime settings to a session created by someone else, with ``fine`` those of
+    ``SCALE_CONF`` too; without it they are taken back."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, value in SCALE_CONF.items():
+        spark.conf.set(key, value) if fine else spark.conf.unset(key)
     return spark
 
 

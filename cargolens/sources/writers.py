@@ -34,6 +34,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
+EXTRACT_ROWS = 1_000_000  # of one compressed file, which one task reads
+
+
+def write_extract(df: DataFrame, path: str, **options: str) -> None:
+    """An extract as CSV files with headers, compressed; readers tell from the files' names. Text of
+    numbers shrinks to a tenth. No file holds more rows than a task may well read."""
+    (df.write.options(header=True, compression="gzip", maxRecordsPerFile=EXTRACT_ROWS, **options)
+     .csv(path))
+
+
 def publish_star(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
     """Write every table that has columns; one action per table."""
     paths = {}

@@ -54,8 +54,7 @@ SCAN_COLUMNS = ["Order Id", "Order Item Id", "Customer Segment", "Product Name",
 def scan_orders(spark: SparkSession, path: str) -> DataFrame:
     """Write the raw extract as CSV, latin-1, and read it back."""
     target = own_dir(spark, "csv/orders")
-    (proxy.raw_orders(spark, path).write.option("header", True)
-     .option("encoding", "ISO-8859-1").csv(target))
+    writers.write_extract(proxy.raw_orders(spark, path), target, encoding="ISO-8859-1")
     return readers.read_orders(spark, target).select(*[f"`{c}`" for c in SCAN_COLUMNS])
 
 

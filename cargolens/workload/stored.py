@@ -80,7 +80,7 @@ def odd_headers(spark: SparkSession, path: str) -> DataFrame:
     rows = rows.drop("Days for shipping (real)", "Sales").select(
         "` Order  Note `", *[f"`{c}`" for c in reversed(rows.columns)
                              if c not in ("Days for shipping (real)", "Sales", " Order  Note ")])
-    rows.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(target)
+    writers.write_extract(rows, target, encoding="ISO-8859-1", escape='"')
     read = readers.read_orders(spark, target, multi_line=True)
     clean = cleaning.standardize_names(cleaning.fill_missing(cleaning.drop_columns(read), RAW_NUMERIC_FIELDS))
     typed = pipeline.derive_orders(cleaning.coerce_numbers(clean, INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS))
