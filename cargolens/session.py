@@ -22,7 +22,8 @@ RUNTIME_CONF = {
 
 # For tables of any size: a shuffle is dealt so finely that no task holds much, and small parts are put
 # together again by their size while the query runs. A fixed small number would make tasks grow with the rows.
-SCALE_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000"}
+SCALE_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+              "spark.sql.parquet.compression.codec": "zstd"}     # stored layouts take less room
 
 
 def get_session(app: str = "cargolens", master: str | None = None, **conf: str) -> SparkSession:

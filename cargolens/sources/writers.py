@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,15 +19,16 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({c: nan_to_null(c) for c in floats}) if floats else df
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                dealt: bool = False) -> None:
     """Overwrite one Parquet table.
 
     For a partitioned table the REBALANCE hint brings the rows of one partition
     value together, so tasks do not each write a small file per value, and splits
-    an oversized value over several tasks.
+    an oversized value over several tasks. ``dealt`` says that the rows have been through it.
     """
     writer = df
-    if partition_by:
+    if partition_by and not dealt:
         writer = df.hint("rebalance", *partition_by)
     writer = writer.write.mode("overwrite")
     if partition_by:
@@ -44,15 +46,16 @@ def write_extract(df: DataFrame, path: str, **options: str) -> None:
      .csv(path))
 
 
-def publish_star(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
-    """Write every table that has columns; one action per table."""
+def publish_star(tables: dict[str, DataFrame], base: str, dealt: Sequence[str] = ()) -> dict[str, str]:
+    """Write every table that has columns; one action per table. ``dealt`` names those whose rows
+    have been brought together by partition."""
     paths = {}
     for name, df in tables.items():
         if not df.columns:
             continue
         paths[name] = f"{base.rstrip('/')}/{name}"
         keys = [c for c in PARTITIONS.get(name, []) if c in df.columns]
-        write_table(nulls_for_nan(df), paths[name], keys)
+        write_table(nulls_for_nan(df), paths[name], keys, name in dealt)
     return paths
 
 

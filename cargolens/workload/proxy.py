@@ -16,7 +16,8 @@ from cargolens.functions.text import standard_name
 from cargolens.operators import star as model
 from cargolens.operators.row_numbers import number_rows
 from cargolens.operators.star import Star
-from cargolens.schemas import RAW_ORDER_FIELDS
+from cargolens.schemas import FACT_COLUMNS, RAW_ORDER_FIELDS
+from cargolens.sources import writers
 
 
 # Declared, so that planning a scan does not first run a job to read file footers.
@@ -253,8 +254,15 @@ def star(spark: SparkSession, path: str) -> Star:
 WIDE: Columns = {**CUSTOMER, **PRODUCT, **ORDER, **LINE_COLUMNS, **ORDER_LINE_COLUMNS}
 
 
-def wide(spark: SparkSession, path: str, columns: Sequence[str] = tuple(WIDE)) -> DataFrame:
-    """Unsplit order lines. Every attribute is joined, whatever the caller selects.
+# What ``WIDE`` is derived from.
+JOINED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+          "l_discount", "l_tax", "l_shipdate", "o_custkey", "o_orderstatus", "o_orderdate",
+          "o_orderpriority", "c_name", "c_mktsegment", "n_name", "r_name", "p_name", "p_brand",
+          "p_type", "p_size"]
+
+
+def joined(spark: SparkSession, path: str) -> DataFrame:
+    """Order lines with the columns of all their tables, before anything is derived.
 
     Lines are shuffled twice, for the part while they are narrow and for the order; the places
     meet the orders, of which there are fewer. Lines of an order lie together afterwards.
@@ -264,7 +272,25 @@ def wide(spark: SparkSession, path: str, columns: Sequence[str] = tuple(WIDE)) -
     rows = (table(spark, path, "lineitem")
             .join(table(spark, path, "part"), F.col("l_partkey") == F.col("p_partkey"))
             .join(placed, F.col("l_orderkey") == F.col("o_orderkey")))
-    return pick(rows, columns, WIDE)
+    return rows.select(*JOINED)
+
+
+def wide(spark: SparkSession, path: str, columns: Sequence[str] = tuple(WIDE)) -> DataFrame:
+    """Unsplit order lines. Every attribute is joined, whatever the caller selects."""
+    return pick(joined(spark, path), columns, WIDE)
+
+
+def unsplit(rows: DataFrame) -> DataFrame:
+    """``wide`` of stored ``joined`` rows."""
+    return pick(rows, tuple(WIDE), WIDE)
+
+
+def dealt_fact(rows: DataFrame) -> DataFrame:
+    """Fact of stored ``joined`` rows, those of a month brought together (see ``write_table``) before
+    the columns are derived: what can be computed afterwards isn't shuffled."""
+    months = writers.PARTITIONS["fact_orders"]
+    keyed = rows.withColumns({c: WIDE[c]() for c in months})
+    return pick(keyed.hint("rebalance", *months), FACT_COLUMNS, WIDE)
 
 
 LINE_BITS = 28  # of a row number, for the lines of one order

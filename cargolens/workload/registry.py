@@ -193,12 +193,12 @@ def dim_order(spark: SparkSession, path: str) -> DataFrame:
     return model.dim_order(proxy.wide(spark, path), proxy.LINE_ORDER)
 
 
-def star_tables(wide: DataFrame, spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def star_tables(lines: DataFrame, fact: DataFrame, spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {
-        "fact_orders": model.fact_orders(wide),
-        "dim_customer": model.dim_customer(wide, proxy.LINE_ORDER),
-        "dim_product": model.dim_product(wide, proxy.LINE_ORDER),
-        "dim_order": model.dim_order(wide, proxy.LINE_ORDER),
+        "fact_orders": fact,
+        "dim_customer": model.dim_customer(lines, proxy.LINE_ORDER),
+        "dim_product": model.dim_product(lines, proxy.LINE_ORDER),
+        "dim_order": model.dim_order(lines, proxy.LINE_ORDER),
         "dim_date": proxy.calendar(spark, path),
         "fact_weblogs": pipeline.clean_weblogs(proxy.web(spark, path)).drop("event_id"),
     }
@@ -208,14 +208,18 @@ def row_counts(spark: SparkSession, path: str) -> DataFrame:
     return writers.table_counts(_stored_star(spark, path))
 
 
-def _stored_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Star tables split off a stored copy of the lines, joined once instead of per table."""
-    return star_tables(stage(proxy.wide(spark, path), "wide"), spark, path)
+def _stored_star(spark: SparkSession, path: str, dealt: bool = False) -> dict[str, DataFrame]:
+    """Star tables split off a stored copy of the lines, joined once instead of per table. What is
+    derived isn't stored. ``dealt``: with the fact's rows brought together by month."""
+    rows = stage(proxy.joined(spark, path), "joined", compression="zstd")
+    lines = proxy.unsplit(rows)
+    fact = proxy.dealt_fact(rows) if dealt else model.fact_orders(lines)
+    return star_tables(lines, fact, spark, path)
 
 
 def publish_star(spark: SparkSession, path: str) -> DataFrame:
     base = own_dir(spark, "star")
-    stored = writers.publish_star(_stored_star(spark, path), base)
+    stored = writers.publish_star(_stored_star(spark, path, dealt=True), base, dealt=["fact_orders"])
     return writers.table_counts(readers.read_star(spark, base, list(stored)))
 
 

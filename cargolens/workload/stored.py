@@ -161,16 +161,16 @@ def refresh_warehouse(spark: SparkSession, path: str) -> DataFrame:
     """Two refreshes, the second with the orders of the last status changed; rows of the current
     tables beside what the manifest says of them."""
     base = own_dir(spark, "refreshed")
-    lines = stage(proxy.wide(spark, path), "wide")
+    lines = stage(proxy.joined(spark, path), "joined", compression="zstd")
     tables = conform.conform({
-        "fact_orders": model.fact_orders(lines),
+        "fact_orders": proxy.dealt_fact(lines),
         "dim_customer": proxy.customers(spark, path, list(proxy.CUSTOMER)),
         "dim_product": proxy.products(spark, path, list(proxy.PRODUCT)),
         "dim_order": proxy.orders(spark, path, list(proxy.ORDER)),
         "dim_date": proxy.calendar(spark, path)})
-    refresh.refresh(tables, base)
+    refresh.refresh(tables, base, dealt=["Fact_Orders"])
     changed = tables["Dim_Order"].withColumn("shipping_mode", F.upper("shipping_mode"))
-    entry = refresh.refresh({**tables, "Dim_Order": changed}, base)
+    entry = refresh.refresh({**tables, "Dim_Order": changed}, base, dealt=["Fact_Orders"])
     counts = writers.table_counts(refresh.read_current(spark, base))
     return counts.join(entry.select("table_name", F.col("row_count").alias("manifest_rows"), "version"),
                        "table_name")

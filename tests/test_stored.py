@@ -2,6 +2,7 @@
 
 import datetime as dt
 import importlib.util
+import os
 import random
 from pathlib import Path
 
@@ -9,14 +10,15 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from cargolens import session
 from cargolens.operators import bitmaps, star as model
 from cargolens.operators.first_row import first_row_per_key
 from cargolens.operators.pruning import on_days
 from cargolens.operators.star import Star
 from cargolens.plans import reach, spans
 from cargolens.session import own_dir
-from cargolens.sources import bucketed, refresh, writers
-from cargolens.workload import registry, stored, stored_oracle
+from cargolens.sources import bucketed, readers, refresh, writers
+from cargolens.workload import proxy, registry, stored, stored_oracle
 
 ROOT = Path(__file__).resolve().parents[1]
 DATA = Path("/root/testdata/sf0.001")
@@ -345,3 +347,31 @@ def test_checksum_sees_where_a_null_stands(spark):
     b = spark.createDataFrame([(None, "x")], "a STRING, b STRING").agg(*refresh._measures(
         spark.createDataFrame([], "a STRING, b STRING"))).first()
     assert a["row_count"] == b["row_count"] == 1 and a["checksum"] != b["checksum"]
+
+
+def test_dealt_fact_derives_after_the_exchange(spark, tmp_path):
+    """The rows that are brought together by month carry no derived column but the month."""
+    rows = session.stage(proxy.joined(spark, DATA), "joined")
+    fact = proxy.dealt_fact(rows)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "profit_tier" not in plan.split("RebalancePartitions", 1)[1]
+    stored = writers.publish_star({"fact_orders": fact}, str(tmp_path), dealt=["fact_orders"])["fact_orders"]
+    found = spark.read.schema(fact.schema).parquet(stored).select(*fact.columns)
+    expected = model.fact_orders(proxy.unsplit(rows)).select(*fact.columns)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_extracts_are_compressed_and_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "EXTRACT_ROWS", 10)
+    writers.write_extract(spark.range(25).coalesce(1).selectExpr("cast(id as string) as `Order Id`"), f"{tmp_path}/x")
+    files = [f for f in os.listdir(f"{tmp_path}/x") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    assert readers.read_orders(spark, f"{tmp_path}/x").distinct().count() == 25
+
+
+def test_shuffles_of_table_queries_are_fine_and_taken_back(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session.tune(spark, fine=True)
+    assert spark.conf.get(key) == "1000"
+    session.tune(spark)
+    assert spark.conf.get(key, None) is None
