@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cargolens.llm.sum_of_squares import pack, pack_part, place
-from cargolens.llm.tokens import VOCABULARY, token_pieces
+from cargolens.llm.tokens import VOCABULARY, _Chunks, token_pieces
 
 from .helpers import DOCS, corpus
 
@@ -50,6 +50,28 @@ def test_ids_are_those_of_the_whole_text(spark, encode):
     assert whole == {i: encode(t) for i, t in enumerate(texts)}
 
 
+def test_plain_words_are_encoded_once_and_together(spark, encode):
+    rng = random.Random(5)
+    letters = "abcxyzABCXYZéÉßÀñ"
+    odd = "0123456789×÷ªſİǰ\u0301\u0327ﬁΣ»“’" + letters
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(1500)]
+    marks = ["", "", ",", ".", "'s", "'", "...", "=\u0338", "),'ll", "-a", "0", "\xa0", "\x1c"]
+    texts = [" ".join(rng.choice([w, w.upper(), w.lower(), w.title(), "'" + w]) + rng.choice(marks) if rng.random() < 0.8 or n % 2
+                      else "".join(rng.choices(odd, k=rng.randint(1, 6))) for w in rng.choices(words, k=400))
+             for n in range(40)]
+    texts += [f"{t} {end}" for t, end in zip(texts, ["x<|endoftext|>", "<|startoftext|> y", "<|ENDOFTEXT|>", "=\u0338 J\u030c"])]
+    got = list(_Chunks(VOCABULARY).texts([t.encode() for t in texts]))
+    assert [[*np.frombuffer(ids, "<u4").tolist(), 1] for ids in got] == [encode(t) for t in texts]
+
+    chunks, asked = _Chunks(VOCABULARY), []
+    real = chunks.encode
+    chunks.encode = lambda text, **how: (asked.append(text), real(text, **how))[1]
+    plain = [f"{form}{mark}" for w in words for form in (w.upper(), w.lower()) for mark in ("", ",", ";")]
+    list(chunks.texts([" ".join(plain[::2]).encode(), " ".join(plain[1::2]).encode()]))
+    assert len(asked) < 10
+    assert sum(text.count(" 0 ") + 1 for text in asked) <= len({x.lower() for w in words for x in (w.upper(), w)}) + 3
+
+
 def test_sequences_are_gapless_and_within_capacity(spark):
     rng = random.Random(2)
     lengths = [rng.choice([1, 5, 40, 99, 100, rng.randint(1, 100)]) for _ in range(3000)]
