@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import warnings
@@ -25,6 +26,10 @@ RUNTIME_CONF = {
 SCALE_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
               "spark.sql.parquet.compression.codec": "zstd"}     # stored layouts take less room
 
+# What a task reads of a shuffle, compressed: in memory, sorted for joins, windows and groups one on the
+# other, that is some thirty times as much.
+ADVISORY, ADVISORY_MB = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 16
+
 
 def get_session(app: str = "cargolens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -37,14 +42,27 @@ def get_session(app: str = "cargolens", master: str | None = None, **conf: str)
 
 def tune(spark: SparkSession, fine: bool = False) -> SparkSession:
     """Apply the runtime settings to a session created by someone else, with ``fine`` those of
-    ``SCALE_CONF`` too; without it they are taken back."""
+    ``SCALE_CONF`` and smaller tasks too; without it they are taken back. An advisory size that is
+    smaller already stays."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     for key, value in SCALE_CONF.items():
         spark.conf.set(key, value) if fine else spark.conf.unset(key)
+    ours = f"{ADVISORY_MB}m"
+    if not fine:
+        if spark.conf.get(ADVISORY, None) == ours:
+            spark.conf.unset(ADVISORY)
+    elif _bytes(spark.conf.get(ADVISORY)) > ADVISORY_MB << 20:
+        spark.conf.set(ADVISORY, ours)
     return spark
 
 
+def _bytes(size: str) -> int:
+    """Of a size as Spark writes it: 67108864b, 64MB, 8m."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 

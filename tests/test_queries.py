@@ -7,6 +7,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from cargolens import session
+
 ROOT = Path(__file__).resolve().parents[1]
 DATA = Path("/root/testdata/sf0.001")
 spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
@@ -57,3 +59,16 @@ def test_no_python_in_any_plan(spark):
         text = plan.toString()
         assert "Python" not in text and "Pandas" not in text and "CartesianProduct" not in text
         assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_tasks_of_table_queries_read_little_whatever_the_session_says(spark):
+    before = spark.conf.get(session.ADVISORY)
+    try:
+        for given, held in [("64MB", "16m"), ("67108864b", "16m"), ("1g", "16m"), ("8m", "8m"), ("16k", "16k")]:
+            spark.conf.set(session.ADVISORY, given)
+            session.tune(spark, fine=True)
+            assert spark.conf.get(session.ADVISORY) == held
+            session.tune(spark)
+            assert spark.conf.get(session.ADVISORY) == (before if held == "16m" else held)
+    finally:
+        spark.conf.unset(session.ADVISORY)
