@@ -6,15 +6,17 @@ the share of equal low bits, corrected for chance, estimates the similarity of a
 Pairs that may reach the threshold are confirmed on the full shingle sets.
 
 Buckets are not expanded into pairs. Each bucket is compared with its hub, the member that
-shares most buckets with others, and linked members need no further test among themselves. What
-lies outside the hub's component then meets the rest around that hub through an index of the
-first shingles of each text, those first that the hub lacks.
+shares most buckets with others, and linked members need no further test among themselves; what
+lies outside the hub's component is compared with some of its own as long as that finds links. The
+rest meets through an index of the first shingles in which each text differs from the hub. Where
+many share one of them, the index goes on to their next ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,10 @@ from cargolens.llm.components import components
 from cargolens.session import stage
 
 WORD_CACHE = 200_000  # hashes of words a task remembers
+ROUNDS = 3            # of further comparisons around a hub, fewer if one finds no link
+DEPTH = 3             # shingles that may make a key of the index around a hub
+LONG = 8              # a list of the index has so many pairs for each entry that dealing it out takes
+PARITY_BITS = 1024    # of the sketch that bounds in how many shingles two texts differ
 
 
 @dataclass(frozen=True)
@@ -113,6 +119,13 @@ class _Sketcher:
         return np.bitwise_or.reduce(low, axis=1).view(np.int64)
 
 
+def _parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each of ``PARITY_BITS`` hash values: is the number of shingles there odd? Bits in which
+    two sketches differ have a shingle each that only one text has: never more than those."""
+    counts = np.bincount((shingles >> np.uint64(32)) % np.uint64(PARITY_BITS), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _words(text: bytes) -> list[bytes]:
     return text.lower().split()  # bytes: A-Z and ASCII white space only
 
@@ -154,21 +167,23 @@ def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
-    """(node, shingles) of the ``wanted`` (node, doc_id): their texts are read once more."""
+    """(node, shingles, parity) of the ``wanted`` (node, doc_id): their texts are read once more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
             lists = [_words(text) for text in batch.column(0).to_pylist()]
             lists = [words for words in lists if words]
+            sets = [_shingles(words, known, plan.shingle) for words in lists]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(words) for words in lists], pa.binary()),
-                 pa.array([_shingles(words, known, plan.shingle).view(np.int64) for words in lists],
-                          pa.list_(pa.int64()))], names=["node", "shingles"])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([_parities(s) for s in sets], pa.list_(pa.int64()))],
+                names=["node", "shingles", "parity"])
 
     ids = wanted.select(F.col("doc_id").alias("__id")).distinct()
     texts = (docs.select(F.col("doc_id").cast("long"), text_bytes("text").alias("text"))
              .join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text"))
-    found = texts.mapInArrow(run, "node binary, shingles array<long>")
+    found = texts.mapInArrow(run, "node binary, shingles array<long>, parity array<long>")
     # Only a null or repeated doc_id can bring a text twice or one that isn't wanted.
     return stage(found.dropDuplicates(["node"]), "minhash-sets")
 
@@ -212,51 +227,139 @@ def _hub_pairs(rows: DataFrame) -> DataFrame:
     return stage(pairs.select("hub", "node").distinct(), "minhash-hub-pairs")
 
 
-def _remaining(hub_pairs: DataFrame, labels: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs around one hub that lie in different components and may reach the threshold.
+def _ends(hub_pairs: DataFrame) -> DataFrame:
+    return hub_pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
-    Two texts of sizes A and B link if they share p / (100 + p) of A + B shingles. In one order of the
-    shingles, the same for all texts around a hub, they then meet within their first ones, as many
-    as that overlap leaves open (prefix filter), and a pair that meets late in them is ruled out by
-    what is left (positional filter). The order puts shingles that the hub lacks before the hub's own: a
-    text that isn't linked with the hub has more of the former than its prefix is long, or nearly,
-    and edits rarely add the same shingle. Copies of a text with different edits thus hardly ever
-    meet, however many there are. At least one of the two isn't linked with the hub; sizes are bounded
-    by those that occur around it.
-    """
+
+def _moved(hub_pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """(hub, to): hubs whose rows another hub takes over, of those they may be linked with (``near``) the one
+    with most rows, if that has more than they have themselves. Whatever met around ``hub`` meets around ``to``."""
+    rows = stage(hub_pairs.groupBy("hub").agg(F.count("*").alias("rows")), "minhash-hub-rows")
+    both = near.select(F.col("a").alias("hub"), F.col("b").alias("to")).union(near.select("b", "a"))
+    other = rows.select(F.col("hub").alias("to"), F.col("rows").alias("more"))
+    return stage(both.join(rows, "hub").join(other, "to")
+                 .where(F.struct("more", "to") > F.struct("rows", "hub"))
+                 .groupBy("hub").agg(F.max(F.struct("more", "to")).alias("best"))
+                 .select("hub", F.col("best.to").alias("to")), "minhash-moved")
+
+
+def _taken_over(hub_pairs: DataFrame, moved: DataFrame) -> DataFrame:
+    """Distinct (hub, node) with the rows of moved hubs, and these themselves, at those that took them over."""
+    return (hub_pairs.join(moved, "hub", "left").select(F.coalesce("to", "hub").alias("hub"), "node")
+            .union(moved.select("to", "hub")).where("hub <> node").distinct())
+
+
+def _labelled(hub_pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(hub, node, own, outside): with the node's component, and whether it isn't the hub's."""
     def label(column: str) -> DataFrame:
         return labels.select(F.col("node").alias(column), F.col("component").alias(f"own_{column}"))
 
-    pairs = (hub_pairs.join(label("node"), "node", "left").join(label("hub"), "hub", "left")
-             .select("hub", "node", F.coalesce("own_node", "node").alias("own"),
-                     F.coalesce("own_hub", "hub").alias("own_hub"))
-             .withColumn("outside", F.col("own") != F.col("own_hub")))
-    pairs = stage(pairs, "minhash-around")
+    return (hub_pairs.join(label("node"), "node", "left").join(label("hub"), "hub", "left")
+            .select("hub", "node", F.coalesce("own_node", "node").alias("own"),
+                    F.coalesce("own_hub", "hub").alias("own_hub"))
+            .select("hub", "node", "own", (F.col("own") != F.col("own_hub")).alias("outside")))
+
+
+def _further_pairs(hub_pairs: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(a, b): one of those outside the hub's component, another each ``turn``, and all in other components."""
+    around = stage(_labelled(hub_pairs, labels), "minhash-open")
+    picked = (around.where("outside").groupBy("hub")
+              .agg(F.max(F.struct(F.xxhash64(F.lit(turn), "hub", "node"), "node", "own")).alias("best"))
+              .select("hub", F.col("best.node").alias("pick"), F.col("best.own").alias("own_pick")))
+    met = around.join(picked, "hub").where("own <> own_pick")
+    return met.select(F.least("pick", "node").alias("a"), F.greatest("pick", "node").alias("b")).distinct()
+
+
+def _remaining(hub_pairs: DataFrame, labels: DataFrame, sets: DataFrame, moved: DataFrame,
+               plan: Plan) -> DataFrame:
+    """Pairs around one hub, that which took it over, that lie in different components and may reach the threshold.
+
+    A text around a hub is told by its difference: the shingles it adds to the hub's and those of the hub
+    that it lacks. Two texts differ in as many shingles as their differences do, so they link if these share
+    (e + e') / (2 * (100 + p)) of their entries, with e = (100 + p) * entries - (100 - p) * shingles.
+    A text not linked with the hub of H shingles has an e above (100 - p) * H, every text one of
+    -(100 - p) * H at least. That tells how many entries any link of a text must share, and in one order
+    of the entries, the added ones first, how many of its first ones hold one of them (prefix filter).
+
+    Texts that share an entry make a list, of those outside the hub's component for themselves, and with those
+    inside. If edits repeat, lists are long. Links that must share two entries also share a second one, within a
+    prefix longer by one, so a list whose pairs outnumber the entries that takes is dealt out by
+    the second, and again, up to ``DEPTH`` of them; links that may share no more are looked for in it.
+    """
+    pairs = stage(_labelled(_taken_over(hub_pairs, moved), labels), "minhash-around")
     open_hubs = (pairs.groupBy("hub").agg(F.count_if("outside").alias("r"), F.count("*").alias("n"))
-                 .where("r > 0 AND n > 1").select("hub"))
-    around = stage(pairs.join(open_hubs, "hub").join(sets.select("node", F.size("shingles").alias("n")), "node")
-                   .select("hub", "node", "own", "outside", "n"), "minhash-around")
-    least = around.groupBy("hub").agg(F.min("n").alias("least"), F.min(
-        F.when(F.col("outside"), F.col("n"))).alias("least_outside"))
-    both, part = F.lit(100 + plan.percent), F.lit(plan.percent)
-    partner = F.greatest(F.ceil(part * F.col("n") / 100),
-                         F.when(F.col("outside"), F.col("least")).otherwise(F.col("least_outside")))
-    shared = F.ceil(part * (F.col("n") + partner) / both)
-    first = F.greatest(F.lit(0), F.col("n") - shared.cast("int") + 1)
-    entries = (around.join(least, "hub").join(sets.withColumnRenamed("shingles", "s"), "node")
-               .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h")), "hub")
-               .select("hub", "node", "own", "outside", "n", F.posexplode(F.slice(
-                   F.concat(F.array_sort(F.array_except("s", "h")), F.array_sort(F.array_intersect("s", "h"))),
-                   F.lit(1), first)).alias("at", "shingle")))
-    entries = stage(entries, "minhash-prefixes")
-    other = entries.select("hub", "shingle", *[F.col(c).alias(f"{c}_b") for c in (
-        "node", "own", "outside", "n", "at")])
-    # What two can still share from their first shared shingle on must reach the pair's own least
-    # overlap. Of two outsiders the smaller one asks.
-    left = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
-    enough = both * left >= part * (F.col("n") + F.col("n_b"))
-    return (entries.where("outside").join(other, ["hub", "shingle"])
-            .where(enough & F.expr("own <> own_b AND (NOT outside_b OR node < node_b)"))
+                 .where("r > 0 AND n > 1").select(
+                     "hub", F.expr("filter(array(true, false), x -> IF(x, r > 1, r < n))").alias("sides")))
+    both, apart = 100 + plan.percent, 100 - plan.percent
+    edge = apart * F.size("h")
+    least = F.when(F.expr("outside AND NOT beyond"), -edge).otherwise(edge + 1)   # of the other's e
+    needed = F.greatest(F.lit(1), F.ceil((F.col("e") + least) / F.lit(2 * both))).cast("int")
+    around = (pairs.join(open_hubs, "hub")
+              .join(sets.select("node", F.col("shingles").alias("s")), "node")
+              .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("h")), "hub")
+              .withColumn("ids", F.concat(F.array_sort(F.array_except("s", "h")), F.array_sort(F.array_except("h", "s"))))
+              .withColumns({"n": F.size("s"), "entries": F.size("ids"), "beyond": F.explode("sides")})
+              .where("outside OR NOT beyond")
+              .withColumn("e", both * F.col("entries") - apart * F.col("n"))
+              .withColumn("needed", needed)
+              .withColumn("first", F.col("entries") - F.col("needed") + 1).where("first > 0"))
+    row = ["hub", "node", "own", "outside", "beyond", "n", "entries", "e", "needed", "first"]
+    around = stage(around.select(*row, F.slice("ids", F.lit(1), F.col("first") + DEPTH - 1).alias("ids")),
+                   "minhash-differences")
+    # Those that do occur narrow it: the other's e, and what the other can share at most.
+    reach = both * F.col("entries") + apart * F.col("n")
+    bounds = stage(around.groupBy("hub").agg(
+        F.min(F.when(F.col("outside"), F.col("e"))).alias("low_beyond"),
+        F.min(F.when(~F.col("outside"), F.col("e"))).alias("low_within"),
+        F.max(F.when(F.col("outside"), reach)).alias("reach_beyond"),
+        F.max(F.when(~F.col("outside"), reach)).alias("reach_within")), "minhash-bounds")
+    within = F.expr("outside AND NOT beyond")
+    low = F.when(within, F.col("low_within")).otherwise(F.col("low_beyond"))
+    most = F.when(within, F.col("reach_within")).otherwise(F.col("reach_beyond"))
+    around = stage(around.join(bounds, "hub").where(F.col("e") <= most).withColumn("needed", F.greatest(
+                       F.col("needed"), F.ceil((F.col("e") + low) / F.lit(2 * both)).cast("int")))
+                   .withColumn("first", F.col("entries") - F.col("needed") + 1).where("first > 0")
+                   .select(*row, "ids"), "minhash-differences")
+    lists = around.select(*row, F.posexplode(F.slice("ids", F.lit(1), F.col("first"))).alias("at", "key"))
+    parity, met = sets.select("node", "parity"), []
+    for depth in range(1, DEPTH + 1):
+        lists = stage(lists, "minhash-prefixes")
+        meet = F.when(F.col("beyond"), F.col("r") * (F.col("r") - 1) / 2).otherwise(F.col("r") * (F.col("m") - F.col("r")))
+        long = F.lit(depth < DEPTH) & (meet > LONG * F.col("further"))
+        kept = (lists.groupBy("hub", "beyond", "key").agg(
+            F.count("*").alias("m"), F.count_if("outside").alias("r"), F.min("own").alias("low"), F.max("own").alias("high"),
+            F.sum(F.col("first") + depth - 1 - F.col("at")).alias("further"))
+            .where("r > 0 AND low <> high AND (beyond OR r < m)").select("hub", "beyond", "key", long.alias("long")))
+        lists = stage(lists.join(kept, ["hub", "beyond", "key"]), "minhash-lists")
+        asking = lists.where(F.expr("NOT long") | (F.col("needed") <= depth))
+        met.append(stage(_met(asking.join(parity, "node"), depth, plan), "minhash-met"))
+        lists = lists.where("long")
+        if depth == DEPTH or lists.isEmpty():
+            break
+        lists = (lists.select(*row, F.col("at").alias("before"), F.col("key").alias("path"))
+                 .join(around.select("hub", "node", "beyond", "ids"), ["hub", "node", "beyond"])
+                 .select(*row, "before", "path", F.posexplode(F.slice(
+                     "ids", F.col("before") + 2, F.col("first") + depth - 1 - F.col("before"))).alias("at", "key"))
+                 .select(*row, (F.col("before") + 1 + F.col("at")).alias("at"),
+                         F.xxhash64("path", "key").alias("key")))
+    return reduce(DataFrame.union, met).distinct()
+
+
+def _met(lists: DataFrame, depth: int, plan: Plan) -> DataFrame:
+    """Pairs (a, b) of members of one list, the first of them outside, that the place of their ``depth``-th
+    shared entry and their parity sketches don't rule out; of a long list only those that need share no more."""
+    both, apart = 100 + plan.percent, 100 - plan.percent
+    other = lists.where("beyond OR NOT outside").select("hub", "beyond", "key", *[
+        F.col(c).alias(f"{c}_b") for c in ("node", "own", "n", "entries", "e", "at", "parity")])
+    left = F.least(F.col("entries") - F.col("at"), F.col("entries_b") - F.col("at_b")) + depth - 1
+    shared = F.col("e") + F.col("e_b")
+    differ = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        differ = differ + F.bit_count(F.get("parity", F.lit(k)).bitwiseXOR(F.get("parity_b", F.lit(k))))
+    return (lists.where("outside").join(other, ["hub", "beyond", "key"])
+            .where(F.expr("own <> own_b AND (NOT beyond OR node < node_b)")
+                   & (2 * both * left >= shared) & (F.expr("NOT long") | (shared <= 2 * both * depth))
+                   & (both * differ <= apart * (F.col("n") + F.col("n_b"))))
             .select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
             .distinct())
 
@@ -286,11 +389,19 @@ def _grouped(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     sets = _sets(docs, wanted, plan)
 
     hub_pairs = _hub_pairs(rows)
-    pairs = hub_pairs.select(F.least("hub", "node").alias("a"),
-                             F.greatest("hub", "node").alias("b")).distinct()
-    links = _confirmed(_possible(pairs, signatures, plan), sets, plan)
+    pairs = _ends(hub_pairs)
+    near = stage(_possible(pairs, signatures, plan), "minhash-near")
+    moved = _moved(hub_pairs, near)
+    new = _ends(_taken_over(hub_pairs, moved)).join(pairs, ["a", "b"], "left_anti")
+    links = _confirmed(near.union(_possible(new, signatures, plan)), sets, plan)
     labels = stage(components(links), "minhash-labels")
-    pairs = _remaining(hub_pairs, labels, sets, plan)
+    for turn in range(ROUNDS):
+        more = _confirmed(_possible(_further_pairs(hub_pairs, labels, turn), signatures, plan), sets, plan)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = stage(components(links), "minhash-labels")
+    pairs = _remaining(hub_pairs, labels, sets, moved, plan)
     more = _confirmed(_possible(pairs, signatures, plan), sets, plan)
     labels = stage(components(links.union(more)), "minhash-labels")
 

@@ -169,3 +169,51 @@ def test_candidates_around_a_hub_stay_few(spark, monkeypatch):
         assert [tuple(r) for r in got] == expected(texts, plan)
         ((around, pairs),) = seen
         assert around >= n and pairs <= around
+
+
+def repeated_edits(n, seed):
+    """Copies whose edits add the same shingles: every place has one other word, or is left out."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    other = [f"w{rng.randrange(3000)}" for _ in base]
+    out = set()
+    while len(out) < n:
+        share, cut = rng.uniform(0, .11), len(out) % 2
+        words = [y if rng.random() < share else x for x, y in zip(base, other)]
+        out.add(" ".join(w for w, y in zip(words, other) if not (cut and w == y)))
+    return sorted(out)
+
+
+def test_repeated_edits_do_not_meet_pair_by_pair(spark, monkeypatch):
+    """Candidates around hubs stay fewer than texts when copies share their edits, and no link is lost."""
+    remaining, plan, seen = minhash._remaining, Plan(shingle=2), []
+
+    def counted(*arguments):
+        pairs = remaining(*arguments)
+        seen.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(minhash, "_remaining", counted)
+    for n in (200, 400):
+        texts = repeated_edits(n, n)
+        got = near_duplicates(corpus(spark, texts), plan).orderBy("doc_id").collect()
+        assert [tuple(r) for r in got] == expected(texts, plan)
+        assert seen.pop() <= n
+
+
+def test_long_lists_are_dealt_out_by_further_shingles(spark, monkeypatch):
+    """With every list dealt out as far as it goes, the components are still those of brute force."""
+    monkeypatch.setattr(minhash, "LONG", 0)
+    plan = Plan(shingle=2)
+    texts = repeated_edits(120, 7) + variants(150, 8)
+    got = near_duplicates(corpus(spark, texts), plan).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == expected(texts, plan)
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        union = rng.integers(1 << 62, size=int(rng.integers(1, 3000))).astype(np.uint64)
+        mine, yours = (union[rng.random(len(union)) < .7] for _ in "ab")
+        x, y = (minhash._parities(s).view(np.uint64) for s in (mine, yours))
+        assert len(x) == 16 and int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(mine, yours))
