@@ -48,33 +48,34 @@ METRICS = ["rows_before", "rows_after", "duplicate_rows", "missing_before", "mis
 def missing(names: list[str]) -> Column:
     """Number of nulls in a row."""
     gaps = F.array(*[cleaning.quoted(c).isNull() for c in names])
-    return F.size(F.filter(gaps, lambda gap: gap)) if names else F.lit(0)
+    return F.size(F.array_remove(gaps, False)) if names else F.lit(0)
 
 
-def prepare_orders(raw: DataFrame, row_seq: str, formats: list[str],
-                   metrics: CleaningMetrics | None = None) -> tuple[DataFrame, DataFrame]:
-    """Unused columns off, timestamps read, equal rows found. Defines row identity.
+# Two digests, the missing cells of a row, and those that fixed values don't fill.
+MARKS = ["_first", "_second", "_missing", "_unfilled"]
 
-    Returns the rows, copies included, and the marks of the unique ones: number, dates, copies and
-    missing values. Both are stored, so that the row numbers of the scan are the same wherever they
-    are read. Only digests are brought together to find equal rows; the rows themselves, some fifty
-    columns, stay where they are.
-    """
+
+def mark_orders(raw: DataFrame, row_seq: str, formats: list[str]) -> DataFrame:
+    """Unused columns off, timestamps read, missing cells but dates filled, with ``MARKS``. Defines row
+    identity: equal rows share both digests, which are taken before anything is filled."""
     slim = cleaning.drop_columns(raw, DROPPED_COLUMNS)
     dated = cleaning.canonical_numbers(cleaning.parse_timestamps(slim, RAW_DATE_COLUMNS, formats))
-    rows = stage(dated, "orders_dated", compression="zstd")
-    dates, cells = cleaning.present(rows, RAW_DATE_COLUMNS), [c for c in rows.columns if c != row_seq]
-    first, second = cleaning.digest(rows, [row_seq])
-    marked = rows.withColumns({"_first": first, "_second": second, "_missing": missing(cells)})
-    left = missing([c for c in cells if c not in dates]).alias("_unfilled")
-    marks = fill_orders(marked, row_seq).select(
-        row_seq, *map(cleaning.quoted, dates), "_first", "_second", "_missing", left)
+    dates, cells = cleaning.present(dated, RAW_DATE_COLUMNS), [c for c in dated.columns if c != row_seq]
+    first, second = cleaning.digest(dated, [row_seq])
+    marked = dated.withColumns({"_first": first, "_second": second, "_missing": missing(cells)})
+    return fill_orders(marked, row_seq).withColumn("_unfilled", missing([c for c in cells if c not in dates]))
+
+
+def unique_rows(marked: DataFrame, row_seq: str, dates: list[str],
+                metrics: CleaningMetrics | None = None) -> DataFrame:
+    """Number, dates, copies and missing values of each unique row, stored. Only digests are brought
+    together to find equal rows, not the rows themselves, some fifty columns."""
     # Equal rows have equal dates and gaps, so any of them will do.
-    unique = marks.groupBy("_first", "_second").agg(
+    unique = marked.groupBy("_first", "_second").agg(
         F.min(row_seq).alias(row_seq), *[F.first(cleaning.quoted(c)).alias(c) for c in dates],
         F.count("*").alias("_copies"), F.first("_missing").alias("_missing"),
         F.first("_unfilled").alias("_unfilled")).drop("_first", "_second")
-    return rows, stage(metrics.of_unique(unique) if metrics else unique, "orders_unique")
+    return stage(metrics.of_unique(unique) if metrics else unique, "orders_unique")
 
 
 def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
@@ -82,9 +83,9 @@ def fill_orders(rows: DataFrame, row_seq: str) -> DataFrame:
     return cleaning.fill_missing(rows, RAW_NUMERIC_FIELDS, skip=[row_seq])
 
 
-def fill_dates(unique: DataFrame, row_seq: str, metrics: CleaningMetrics | None = None) -> DataFrame:
+def fill_dates(unique: DataFrame, row_seq: str, dates: list[str],
+               metrics: CleaningMetrics | None = None) -> DataFrame:
     """Numbers of the unique rows with their dates, gaps filled by the last one before."""
-    dates = cleaning.present(unique, RAW_DATE_COLUMNS)
     filled = forward_fill(unique, dates, row_seq) if dates else unique
     filled = metrics.of_filled(filled, dates) if metrics else filled
     return filled.select(row_seq, *map(cleaning.quoted, dates))
@@ -121,14 +122,15 @@ def clean_orders(raw: DataFrame, row_seq: str = "row_seq",
     fills a gap and which row of a key comes first, and stays in the output. ``metrics`` gets its
     counts when the lines are stored.
     """
-    rows, unique = prepare_orders(raw, row_seq, formats, metrics)
-    filled = cleaning.standardize_names(fill_dates(unique, row_seq, metrics))
-    names = cleaning.standardize_names(rows).columns
-    rest = cleaning.standardize_names(fill_orders(rows, row_seq)).drop(
-        *[c for c in filled.columns if c != standard_name(row_seq)])
-    # Numbers before the join: it moves those columns that are asked for, and not as text.
-    typed = cleaning.coerce_numbers(rest, INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS, money_type)
-    rows = typed.join(filled, standard_name(row_seq)).select(*names)
+    # Typed and marked in the pass that stores them: reading fifty columns of text again costs as much
+    # as making them. Stored, the rows have the same numbers wherever they are read.
+    marked = cleaning.standardize_names(mark_orders(raw, row_seq, formats))
+    rows = stage(cleaning.coerce_numbers(marked, INT_COLUMNS + INFERRED_INT_COLUMNS, FLOAT_COLUMNS, money_type),
+                 "orders_typed", compression="zstd")
+    number, dates = standard_name(row_seq), [standard_name(c) for c in cleaning.present(raw, RAW_DATE_COLUMNS)]
+    filled = fill_dates(unique_rows(rows, number, dates, metrics), number, dates, metrics)
+    names = [c for c in rows.columns if c not in MARKS]
+    rows = rows.drop(*MARKS, *dates).join(filled, number).select(*names)
     return derive_orders(rows)
 
 
@@ -171,12 +173,13 @@ def quality_report(raw: DataFrame, row_seq: str = "row_seq",
                    formats: list[str] = cleaning.DATE_FORMATS) -> DataFrame:
     """Metrics of one cleaning run as (metric, value): rows, columns and missing values.
 
-    The marks of the unique rows are counted while they are stored, those with filled dates in one
-    pass that keeps nothing. ``run_with_metrics`` gives the same of a run that publishes.
+    The rows themselves aren't needed twice, so only the marks of the unique ones are stored, and counted
+    meanwhile; those with filled dates take one pass that keeps nothing. ``run_with_metrics`` gives the
+    same of a run that publishes.
     """
-    metrics = CleaningMetrics()
-    _, unique = prepare_orders(raw, row_seq, formats, metrics)
-    fill_dates(unique, row_seq, metrics).write.format("noop").mode("overwrite").save()
+    metrics, dates = CleaningMetrics(), cleaning.present(raw, RAW_DATE_COLUMNS)
+    unique = unique_rows(mark_orders(raw, row_seq, formats), row_seq, dates, metrics)
+    fill_dates(unique, row_seq, dates, metrics).write.format("noop").mode("overwrite").save()
     return raw.sparkSession.createDataFrame(metrics.values(raw), "metric STRING, value BIGINT")
 
 

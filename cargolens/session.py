@@ -24,7 +24,10 @@ RUNTIME_CONF = {
 # For tables of any size: a shuffle is dealt so finely that no task holds much, and small parts are put
 # together again by their size while the query runs. A fixed small number would make tasks grow with the rows.
 SCALE_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
-              "spark.sql.parquet.compression.codec": "zstd"}     # stored layouts take less room
+              "spark.sql.parquet.compression.codec": "zstd",     # stored layouts take less room
+              # Java never compiles a method of more than 8,000 bytes. Over some fifty columns the code of a
+              # stage is one; beyond this limit Spark takes the code it has cut into small methods instead.
+              "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 # What a task reads of a shuffle, compressed: in memory, sorted for joins, windows and groups one on the
 # other, that is some thirty times as much.

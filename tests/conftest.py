@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from cargolens.session import get_session  # noqa: E402
+from cargolens.session import get_session, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,6 +18,13 @@ def spark(tmp_path_factory):
     return session
 
 
+@pytest.fixture(autouse=True)
+def settings_taken_back(spark):
+    """What a table query sets for itself isn't there for the next test."""
+    yield
+    tune(spark)
+
+
 @pytest.fixture(scope="session")
 def evaluate(spark):
     """Values of a Column function over literal rows of one column ``x``."""

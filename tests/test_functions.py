@@ -86,6 +86,24 @@ def test_timestamps_from_text(evaluate):
                     dt.datetime(2018, 1, 31), None, None, None]
 
 
+def test_a_format_is_tried_only_on_texts_with_its_separators(spark, evaluate):
+    assert text.separators("M/d/yyyy H:mm") == [" ", "/", ":"] and text.separators("yyyyMMdd") == []
+    assert text.separators("yyyy[-MM]") == text.separators("yyyy'-'MM") == []
+    rows = spark.createDataFrame([("x",)], "x STRING").select(text.to_timestamp(F.col("x"), ["yyyy-MM-dd"]))
+    assert "CASE WHEN Contains(x" in rows._jdf.queryExecution().optimizedPlan().toString()
+    values = ["2018", "2018-01", "2018/01", "20180131"]
+    read = evaluate(lambda c: text.to_timestamp(c, ["yyyy[-MM]", "yyyyMMdd"]), values, "STRING")
+    assert read == [dt.datetime(2018, 1, 1), dt.datetime(2018, 1, 1), None, dt.datetime(2018, 1, 31)]
+
+
+def test_long_and_padded_numbers_keep_one_spelling(evaluate):
+    values = ["0.30000000000000004", "0.300000000000000040", "1.00000000000000000001", "1", "12345678.50", "12345678.5",
+              "-0.00", "0\n", "5\n", "1.0\n", "1234567.000", "99999999999999999999.5", "0.00010"]
+    got = evaluate(text.canonical_number, values, "STRING")
+    assert got == ["0.30000000000000004", "0.30000000000000004", "1", "1", "1.23456785E7", "1.23456785E7", "0", "0\n",
+                   "5\n", "1\n", "1234567", "1.0E20", "1.0E-4"]
+
+
 def test_names(evaluate):
     names = [" Order  Id ", "order date (DateOrders)", "Días de envío"]
     want = ["order_id", "order_date_dateorders", "días_de_envío"]

@@ -210,6 +210,32 @@ def test_no_wide_row_moves_for_its_equals(spark, extracts, monkeypatch):
     assert grouped and not [line for line in grouped if "Customer City" in line]
 
 
+def stored(monkeypatch):
+    """Names and optimized plans of what the cleaning stores from now on."""
+    plans, kept = {}, pipeline.stage
+    monkeypatch.setattr(pipeline, "stage", lambda df, name, *rest, **more: (
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()), kept(df, name, *rest, **more))[1])
+    return plans
+
+
+def test_text_of_the_extract_is_read_in_one_pass(spark, extracts, monkeypatch):
+    """Rows are stored as numbers with their digests; equal ones are found without their columns."""
+    raw = readers.with_row_seq(readers.read_orders(spark, str(extracts / "orders.csv")))
+    plans = stored(monkeypatch)
+    clean = pipeline.clean_orders(raw)
+    assert clean.select("order_id", "sales").count() == 3 and dict(clean.dtypes)["order_item_quantity"] == "bigint"
+    assert list(plans) == ["orders_typed", "orders_unique"]
+    assert "_first" in plans["orders_unique"] and "xxhash64" not in plans["orders_unique"]
+    assert not [line for line in plans["orders_unique"].splitlines() if "Aggregate [" in line and "city" in line]
+
+
+def test_a_quality_report_stores_no_row(spark, extracts, monkeypatch):
+    raw = readers.with_row_seq(readers.read_orders(spark, str(extracts / "orders.csv")))
+    plans = stored(monkeypatch)
+    report = {r["metric"]: r["value"] for r in pipeline.quality_report(raw).collect()}
+    assert list(plans) == ["orders_unique"] and report["rows_before"] == 4 and report["rows_after"] == 3
+
+
 def test_digest_tells_rows_apart_by_where_nulls_stand(spark):
     from cargolens.operators import cleaning
     df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "a", None), (4, "", "a"), (5, None, None)],
